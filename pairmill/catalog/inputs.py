@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from pairmill.plans.prepare import clean_pairs, kept_pairs, tokenised_pairs
 from pairmill.sources.pairs import dialogue_pairs, line_pairs
+from pairmill.sources.staging import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table whose text is about to be worked on."""
+    return spread(table(spark, sf, name))
+
+
 # Order rows told as support messages. The expressions are valid in Spark SQL and
 # in DuckDB, so both sides start from the same rows.
 _QUERY = """case
@@ -38,11 +44,11 @@ SUPPORT_SQL = "select {} from orders".format(
 
 
 def support_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").selectExpr(*[f"{e} as {n}" for e, n in SUPPORT_COLUMNS])
+    return texts(spark, sf, "orders").selectExpr(*[f"{e} as {n}" for e, n in SUPPORT_COLUMNS])
 
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
-    return line_pairs(table(spark, sf, "documents"))
+    return line_pairs(texts(spark, sf, "documents"))
 
 
 def dialogues(spark: SparkSession, sf: str) -> DataFrame:

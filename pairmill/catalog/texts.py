@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
-from pairmill.catalog.inputs import joined, support_rows, table
+from pairmill.catalog.inputs import joined, support_rows, table, texts
 from pairmill.catalog.registry import query
 from pairmill.functions import fixed, text
 from pairmill.functions.basics import compute_once
@@ -17,20 +17,20 @@ from pairmill.sources.staging import stage
 
 @query(f"select doc_id, {q.clean('text')} as cleaned from documents")
 def clean_documents(spark, sf):
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         "doc_id", text.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query(f"select page_id, {q.clean('url')} as url_clean, {q.clean('html')} as cleaned from pages")
 def clean_pages(spark, sf):
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages").select(
         "page_id", text.clean_text(F.col("url")).alias("url_clean"),
         text.clean_text(F.col("html")).alias("cleaned"))
 
 
 @query(f"select page_id, {q.strip_markup('html')} as bare from pages")
 def strip_page_markup(spark, sf):
-    return table(spark, sf, "pages").select("page_id", text.strip_markup(F.col("html")).alias("bare"))
+    return texts(spark, sf, "pages").select("page_id", text.strip_markup(F.col("html")).alias("bare"))
 
 
 @query(q.CLEANED_SUPPORT + " select row_id, query_clean from cl")
@@ -62,7 +62,7 @@ def fill_slots_by_join(spark, sf):
 @query(f"""select doc_id, cast(len({q.tokens('lower(text)')}) as bigint) as n_tokens,
  array_to_string({q.tokens('lower(text)')}, ' ') as tokens from documents""")
 def tokenize_documents(spark, sf):
-    toks = compute_once(table(spark, sf, "documents"), t=text.tokenize(F.lower("text")))
+    toks = compute_once(texts(spark, sf, "documents"), t=text.tokenize(F.lower("text")))
     return toks.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"),
                        joined("t").alias("tokens"))
 
@@ -70,7 +70,7 @@ def tokenize_documents(spark, sf):
 @query(f"""select doc_id, cast(len({q.tokens('lower(text)')}) > 118 as boolean) as truncated,
  array_to_string({q.truncate(q.tokens('lower(text)'))}, ' ') as kept from documents""")
 def truncate_replies(spark, sf):
-    toks = compute_once(table(spark, sf, "documents"), t=text.tokenize(F.lower("text")))
+    toks = compute_once(texts(spark, sf, "documents"), t=text.tokenize(F.lower("text")))
     return toks.select("doc_id", (F.size("t") > 118).alias("truncated"),
                        joined(text.truncate_at_sentence(F.col("t"), 118)).alias("kept"))
 
@@ -79,7 +79,7 @@ def truncate_replies(spark, sf):
  from documents""")
 def content_words_of_documents(spark, sf):
     words = text.content_words(text.tokenize(F.lower("text")))
-    return table(spark, sf, "documents").select("doc_id", joined(words).alias("content"))
+    return texts(spark, sf, "documents").select("doc_id", joined(words).alias("content"))
 
 
 @query(q.SUPPORT + f""" select row_id, {q.reference_slot('query')} as slot from sup
@@ -184,5 +184,5 @@ def render_support(spark, sf):
 
 @query(f"select doc_id, {_render_sql(q.tokens('lower(text)'))} as reply from documents")
 def render_documents(spark, sf):
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         "doc_id", render(text.tokenize(F.lower("text"))).alias("reply"))

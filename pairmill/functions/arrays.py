@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pairmill.functions.basics import empty_strings, let
 from pairmill.settings import EOS, PAD, SOS
 
-_JOINER = "\x01"      # separates the words of one n-gram key
 _COUNTER = "\x02"     # separates a key from its repeat number
 
 
@@ -16,46 +15,64 @@ def ngrams(items: Column, n: int) -> Column:
     """All contiguous n-slices. ``sequence`` counts down, hence the guard."""
     grams = F.transform(F.sequence(F.lit(1), F.size(items) - n + 1),
                         lambda i: F.slice(items, i, n))
-    return F.when(F.size(items) >= n, grams).otherwise(F.slice(grams, 1, 0))
+    return F.when(F.size(items) >= n, grams).otherwise(F.slice(F.array(items), 1, 0))
 
 
-def ngram_keys(items: Column, n: int) -> Column:
-    """n-grams of a string array as plain string keys."""
+def ngram_keys(tokens: Column, n: int) -> Column:
+    """n-grams of a token array as strings, words joined by one space.
+
+    Tokens are never empty and hold no space, so the joined text can be cut by
+    one regular expression: at each word start, look ahead over n words.
+    """
     if n == 1:
-        return items
-    keys = F.transform(
-        F.sequence(F.lit(0), F.size(items) - n),
-        lambda i: F.concat_ws(_JOINER, *[F.get(items, i + k) for k in range(n)]))
-    return F.when(F.size(items) >= n, keys).otherwise(empty_strings())
+        return tokens
+    gram = rf"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{n - 1}}}))"
+    return F.regexp_extract_all(F.array_join(tokens, " "), F.lit(gram), F.lit(1))
+
+
+def char_ngrams(text: Column, n: int) -> Column:
+    """Overlapping n-grams of code points."""
+    # The first test keeps the scan from starting inside a surrogate pair.
+    gram = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"
+    return F.regexp_extract_all(text, F.lit(gram), F.lit(1))
 
 
-def numbered(keys: Column) -> Column:
-    """Make repeats distinct: the k-th copy of a key gets the number k.
+def _further_copies(keys: Column) -> Column:
+    """The multiset without one copy of every key, sorted."""
+    return let(F.sort_array(keys), lambda s: F.filter(
+        s, lambda k, i: (i > 0) & (k == F.get(s, i - 1))))
 
-    Sorting brings copies together, so the run starts give every repeat number
-    in linear time; a multiset then becomes an ordinary set.
+
+def _numbered(s: Column) -> Column:
+    """Give the k-th copy of a key in a sorted array the number k.
+
+    The run starts give every copy its number in linear time, and the multiset
+    becomes an ordinary set.
     """
-    def runs(s: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(1), F.size(s)),
-                          lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
+    starts = F.filter(F.sequence(F.lit(1), F.size(s)),
+                      lambda i: (i == 1) | (F.get(s, i - 1) != F.get(s, i - 2)))
 
-        def spread(st: Column) -> Column:
-            return F.flatten(F.transform(st, lambda p, j: let(
-                F.coalesce(F.get(st, j + 1), F.size(s) + 1) - p,
-                lambda copies: F.transform(
-                    F.sequence(F.lit(1), copies),
-                    lambda k: F.concat(F.get(s, p - 1), F.lit(_COUNTER), k.cast("string"))))))
-        return F.when(F.size(s) > 0, let(starts, spread)).otherwise(empty_strings())
-    return let(F.sort_array(keys), runs)
+    def spread(st: Column) -> Column:
+        return F.flatten(F.transform(st, lambda p, j: let(
+            F.coalesce(F.get(st, j + 1), F.size(s) + 1) - p,
+            lambda copies: F.transform(
+                F.sequence(F.lit(1), copies),
+                lambda k: F.concat(F.get(s, p - 1), F.lit(_COUNTER), k.cast("string"))))))
+    return F.when(F.size(s) > 0, let(starts, spread)).otherwise(empty_strings())
 
 
 def clipped_matches(left: Column, right: Column) -> Column:
-    """Size of the multiset intersection of two string arrays, inside the row."""
-    return F.size(F.array_intersect(numbered(left), numbered(right))).cast("bigint")
+    """Size of the multiset intersection of two string arrays, inside the row.
 
-
-def characters(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r"(?s)."), F.lit(0))
+    One copy of every common key is a plain set intersection; only keys that
+    occur repeatedly need their copies numbered.
+    """
+    def further(a: Column, b: Column) -> Column:
+        return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(
+            F.array_intersect(_numbered(a), _numbered(b)))).otherwise(0)
+    more = let(_further_copies(left), lambda a: let(_further_copies(right),
+                                                    lambda b: further(a, b)))
+    return (F.size(F.array_intersect(left, right)) + more).cast("bigint")
 
 
 def repeat_completions(ids: Column, n: int = 3) -> Column:

@@ -19,7 +19,7 @@ EMOJI = (r"[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}\x{1F700}-\
          r"\x{2190}-\x{21FF}\x{2B00}-\x{2BFF}\x{1F1E6}-\x{1F1FF}]+")
 PUNCT_RUN = r"([!?.,])\1+"
 CHAR_RUN = r"(?d)(.)\1{2,}"
-TOKEN = rf"<[a-z0-9_]+>|[a-z]+(?:['’\-][a-z]+)*|\p{{Nd}}+|[^{SPACE}a-z\p{{Nd}}]"
+TOKEN = rf"[a-z]+(?:['’\-][a-z]+)*|<[a-z0-9_]+>|\p{{Nd}}+|[^{SPACE}]"
 REFERENCE_NUMBER = r"^[#\-]?\p{Nd}(?:-*\p{Nd}){3,}-*$"      # four digits or more
 CONTENT_WORD = r"^\p{L}{3,}$"
 

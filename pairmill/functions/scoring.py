@@ -5,9 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from pairmill.functions import fixed
-from pairmill.functions.arrays import characters, clipped_matches, ngram_keys
+from pairmill.functions.arrays import char_ngrams, clipped_matches, ngram_keys
 from pairmill.functions.basics import let
 
 
@@ -31,35 +32,35 @@ def tokens_rouge(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda w: w != "")
 
 
-def total_ngrams(items: Column, n: int) -> Column:
-    return F.greatest(F.size(items) - n + 1, F.lit(0)).cast("bigint")
-
-
-def overlap(hyp: Column, ref: Column, orders: range | list[int]) -> Column:
+def overlap(hyp: Column, ref: Column, orders: range | list[int], grams) -> Column:
     """``struct(m1, h1, r1, m2, ...)``: matches and totals per n-gram order."""
+    def one_order(h: Column, r: Column, n: int) -> Column:
+        both = let(grams(h, n), lambda x: let(grams(r, n), lambda y: F.struct(
+            clipped_matches(x, y).alias("m"), F.size(x).cast("bigint").alias("h"),
+            F.size(y).cast("bigint").alias("r"))))
+        return both.alias(f"o{n}")
+
     def fields(h: Column, r: Column) -> Column:
-        out = []
-        for n in orders:
-            out += [clipped_matches(ngram_keys(h, n), ngram_keys(r, n)).alias(f"m{n}"),
-                    total_ngrams(h, n).alias(f"h{n}"), total_ngrams(r, n).alias(f"r{n}")]
-        return F.struct(*out)
-    return let(hyp, lambda h: let(ref, lambda r: fields(h, r)))
+        return F.struct(*[one_order(h, r, n) for n in orders])
+    nested = let(hyp, lambda h: let(ref, lambda r: fields(h, r)))
+    return let(nested, lambda s: F.struct(*[
+        s[f"o{n}"][side].alias(f"{side}{n}") for n in orders for side in ("m", "h", "r")]))
 
 
 def bleu_overlap(hyp: Column, ref: Column, lowercase: bool) -> Column:
     if lowercase:
         hyp, ref = F.lower(hyp), F.lower(ref)
-    return overlap(tokens_13a(hyp), tokens_13a(ref), range(1, 5))
+    return overlap(tokens_13a(hyp), tokens_13a(ref), range(1, 5), ngram_keys)
 
 
 def chrf_overlap(hyp: Column, ref: Column) -> Column:
     def bare(text: Column) -> Column:
-        return characters(F.regexp_replace(text, f"[{fixed.SPACE}]+", ""))
-    return overlap(bare(hyp), bare(ref), range(1, 7))
+        return F.regexp_replace(text, f"[{fixed.SPACE}]+", "")
+    return overlap(bare(hyp), bare(ref), range(1, 7), char_ngrams)
 
 
 def rouge_overlap(hyp: Column, ref: Column) -> Column:
-    return overlap(tokens_rouge(hyp), tokens_rouge(ref), range(1, 3))
+    return overlap(tokens_rouge(hyp), tokens_rouge(ref), range(1, 3), ngram_keys)
 
 
 def f_measure(matches: Column, hyp_total: Column, ref_total: Column) -> Column:
@@ -115,7 +116,7 @@ def chrf(stats: Column, beta: float = 2.0) -> Column:
                   / ((b2 * precision + recall) * orders)).otherwise(0.0)
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(LongType())
 def lcs_length(left: pd.Series, right: pd.Series) -> pd.Series:
     """Longest common subsequence of two token lists, whole lists.
 

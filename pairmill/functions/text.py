@@ -100,7 +100,8 @@ def open_hashtags(text: Column) -> Column:
 
 
 def strip_emoji(text: Column) -> Column:
-    return F.regexp_replace(text, fixed.EMOJI, " ")
+    # One range test rejects almost every character before the list of blocks.
+    return F.regexp_replace(text, rf"[\x{{2190}}-\x{{1FAFF}}&&{fixed.EMOJI[:-1]}]+", " ")
 
 
 def collapse_punctuation(text: Column) -> Column:

@@ -58,8 +58,16 @@ def small_lexicon(lexicon: DataFrame, entries: int = 5_000) -> SmallLexicon | No
                         tuple(sorted(r.token for r in rows if r.anchor_rank is not None)))
 
 
-def _member(word: Column, values: tuple[str, ...]) -> Column:
-    return word.isin(list(values)) if values else F.lit(False)
+def _filtered(values: tuple[str, ...], keep: bool) -> Column:
+    """Words of ``_content`` inside or outside a constant set (a hash lookup).
+
+    Written as text since one Column object per word would be slow to build;
+    the words are letters only.
+    """
+    if not values:
+        return F.slice("_content", 1, 0) if keep else F.col("_content")
+    words = ", ".join(f"'{v}'" for v in values)
+    return F.expr(f"filter(_content, w -> w {'' if keep else 'not '}in ({words}))")
 
 
 def _ratio(unknown: Column, content: Column, tokens: Column) -> Column:
@@ -70,18 +78,19 @@ def _ratio(unknown: Column, content: Column, tokens: Column) -> Column:
 
 def scope_signals(df: DataFrame, lexicon: DataFrame | SmallLexicon,
                   tokens_col: str = "query_tokens", key: str = "row_id",
-                  settings: Settings = Settings()) -> DataFrame:
+                  settings: Settings = Settings(), always_join: bool = False) -> DataFrame:
     """Add ``unknown`` (in order, repeats kept), ``oov`` and ``n_anchors``.
 
     A small lexicon becomes a hash set inside the plan: no shuffle at all. A
     large one is joined to the exploded content words.
     """
-    small = lexicon if isinstance(lexicon, SmallLexicon) else small_lexicon(lexicon)
+    small = lexicon if isinstance(lexicon, SmallLexicon) else (
+        None if always_join else small_lexicon(lexicon))
     content = content_words(F.col(tokens_col))
     if small is not None:
         df = df.withColumn("_content", content)
-        unknown = F.filter("_content", lambda w: ~_member(w, small.known))
-        anchors = F.filter("_content", lambda w: _member(w, small.anchors))
+        unknown = _filtered(small.known, keep=False)
+        anchors = _filtered(small.anchors, keep=True)
         return (df.withColumn("unknown", unknown)
                 .withColumn("oov", _ratio(F.size("unknown"), F.size("_content"),
                                           F.col(tokens_col)))

@@ -13,7 +13,8 @@ from pairmill.functions.basics import compute_once
 from pairmill.functions.text import prefix, trim_space, word_count, words
 
 
-def align(hypotheses: DataFrame, references: DataFrame, key: str = "row_id") -> DataFrame:
+def align(hypotheses: DataFrame, references: DataFrame,
+          key: str | list[str] = "row_id") -> DataFrame:
     return hypotheses.join(references, key)
 
 
