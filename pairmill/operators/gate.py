@@ -97,8 +97,7 @@ def scope_signals(df: DataFrame, lexicon: DataFrame | SmallLexicon,
                 .withColumn("n_anchors", F.size(anchors)).drop("_content"))
 
     exploded = df.select(key, F.posexplode(content).alias("pos", "token"))
-    found = lookup(exploded, lexicon.select("token", "n", "known", "anchor_rank"), "token",
-                   settings=settings)
+    found = lookup(exploded, lexicon.select("token", "known", "anchor_rank"), "token", settings)
     missing = F.when(~F.coalesce("known", F.lit(False)), F.struct("pos", "token"))
     per_row = found.groupBy(key).agg(
         F.array_sort(F.collect_list(missing)).alias("_u"), F.count("*").alias("_words"),

@@ -60,13 +60,13 @@ def _logprob(model: ReplyModel) -> Column:
                  .otherwise(model.weight * pair + (1 - model.weight) * unigram))
 
 
-def score_bigrams(grams: DataFrame, model: ReplyModel,
-                  settings: Settings = Settings()) -> DataFrame:
+def score_bigrams(grams: DataFrame, model: ReplyModel, settings: Settings = Settings(),
+                  spread_keys: bool = False) -> DataFrame:
     """Add ``logprob`` to rows with columns v and w."""
     out = lookup(grams.withColumn("gram", gram_key()),
-                 model.pairs.withColumnRenamed("n", "n_pair"), "gram", "n_pair", settings)
-    out = lookup(out, model.contexts, "v", "n_context", settings)
-    out = lookup(out, model.words.withColumnRenamed("n", "n_word"), "w", "n_word", settings)
+                 model.pairs.withColumnRenamed("n", "n_pair"), "gram", settings, spread_keys)
+    out = lookup(out, model.contexts, "v", settings)
+    out = lookup(out, model.words.withColumnRenamed("n", "n_word"), "w", settings)
     return out.withColumn("logprob", _logprob(model)).select(*grams.columns, "logprob")
 
 
@@ -99,4 +99,4 @@ def corpus_perplexity(df: DataFrame, model: ReplyModel, by: list[str],
     joins see dictionary-sized tables however large the corpus is."""
     grams = (df.select(*by, F.inline(bigrams(F.col(tokens_col)))).drop("pos")
              .groupBy(*by, "v", "w").agg(F.count("*").alias("times")))
-    return perplexity(score_bigrams(grams, model, settings), by, "times")
+    return perplexity(score_bigrams(grams, model, settings, spread_keys=True), by, "times")

@@ -16,32 +16,35 @@ def fits(dictionary: DataFrame, key: str, rows: int, nbytes: int) -> bool:
     return size["rows"] <= rows and (size["bytes"] or 0) <= nbytes
 
 
-def lookup(df: DataFrame, dictionary: DataFrame, key: str, weight: str = "n",
-           settings: Settings = Settings()) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, settings: Settings = Settings()) -> DataFrame:
+    """The most frequent keys of ``df``: at most ``hot_keys`` rows."""
+    return (df.groupBy(key).agg(F.count("*").alias("_rows"))
+            .where((F.col("_rows") >= settings.hot_min_rows)
+                   & (F.octet_length(F.col(key).cast("string")) <= 1024))
+            .orderBy(F.desc("_rows"), F.asc(key)).limit(settings.hot_keys).select(key))
+
+
+def lookup(df: DataFrame, dictionary: DataFrame, key: str, settings: Settings = Settings(),
+           spread_keys: bool = False) -> DataFrame:
     """Left join ``df`` to a dictionary with one row per ``key``.
 
-    Small dictionaries are broadcast. Larger ones are split: the most frequent
-    ``hot_keys`` entries (a fixed number of rows) are broadcast, so that the rows
-    of a hot key never meet in one task, and what is left is joined by a shuffle
-    on (key, salt), which also spreads a frequent key the dictionary lacks.
+    A dictionary of checked size is broadcast. For a larger one the rows of hot
+    keys are answered from a broadcast of those few keys, known to the
+    dictionary or not, so they never meet in one task; the rest is an ordinary
+    join. ``spread_keys`` says that ``df`` repeats no key often, for instance
+    after an aggregation by it, and skips the hot part.
     """
-    values = [c for c in dictionary.columns if c != key]
     if fits(dictionary, key, settings.broadcast_rows, settings.broadcast_bytes):
         return df.join(F.broadcast(dictionary), key, "left")
-
-    short = F.octet_length(F.col(key).cast("string")) <= 1024
-    hot = (dictionary.where(short).orderBy(F.desc(weight), F.asc(key))
-           .limit(settings.hot_keys).withColumn("_hot", F.lit(True)))
+    if spread_keys:
+        return df.join(dictionary, key, "left")
+    values = [c for c in dictionary.columns if c != key]
+    hot = stage(hot_keys(df, key, settings).join(dictionary, key, "left")
+                .withColumn("_hot", F.lit(True)), "hot")
     first = df.join(F.broadcast(hot), key, "left")
     done = first.where(F.col("_hot")).drop("_hot")
     rest = first.where(F.col("_hot").isNull()).drop("_hot", *values)
-
-    salts = F.array(*[F.lit(i) for i in range(settings.salt)])
-    tail = dictionary.withColumn("_salt", F.explode(salts))
-    # Salt from the row's own values: a re-run of a lost task repeats it exactly.
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in rest.columns])
-    rest = rest.withColumn("_salt", F.pmod(row_hash, F.lit(settings.salt)).cast("int"))
-    return done.unionByName(rest.join(tail, [key, "_salt"], "left").drop("_salt"))
+    return done.unionByName(rest.join(dictionary, key, "left"))
 
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank",

@@ -55,8 +55,7 @@ def apply_slots_df(df: DataFrame, column: str, mapping: DataFrame, key: str = "r
     """Slot substitution through a join, for maps beyond an in-plan constant."""
     names = (df.where(F.contains(F.col(column), F.lit("{{")))
              .select(key, F.posexplode(text.slot_names(F.col(column))).alias("pos", "raw")))
-    found = lookup(names, frequent(mapping).select("raw", "slot", "n"), "raw",
-                   settings=settings)
+    found = lookup(names, frequent(mapping).select("raw", "slot"), "raw", settings)
     slot = F.coalesce("slot", F.lit(fixed.GENERIC_SLOT))
     per_row = (found.groupBy(key)
                .agg(F.array_sort(F.collect_list(F.struct("pos", slot.alias("slot")))).alias("_s"))

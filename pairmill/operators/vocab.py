@@ -66,7 +66,7 @@ def oov_ratio(df: DataFrame, tokens_col: str, vocab: DataFrame, key: str = "row_
               settings: Settings = Settings()) -> DataFrame:
     """Unknown tokens / tokens per row; 1.0 for rows without tokens."""
     tokens = df.select(key, F.explode_outer(tokens_col).alias("token"))
-    found = lookup(tokens, vocab.select("token", "id", "n"), "token", settings=settings)
+    found = lookup(tokens, vocab.select("token", "id"), "token", settings)
     unknown = F.count_if(F.col("token").isNotNull() & F.col("id").isNull())
     return found.groupBy(key).agg(
         F.coalesce(F.try_divide(unknown, F.count("token")), F.lit(1.0)).alias("oov_ratio"))
@@ -84,8 +84,8 @@ def encode_columns(df: DataFrame, columns: dict[str, tuple[str, int]], vocab: Da
         F.transform(F.slice(c, 1, max_len - marks), lambda t, i: F.struct(
             F.lit(out).alias("col"), i.alias("pos"), t.alias("token")))
         for c, (out, max_len) in columns.items()])
-    found = lookup(df.select(key, F.inline(tagged)), vocab.select("token", "id", "n"),
-                   "token", settings=settings)
+    found = lookup(df.select(key, F.inline(tagged)), vocab.select("token", "id"),
+                   "token", settings)
     unk = F.coalesce("id", F.lit(UNK))
     ids = found.groupBy(key).agg(*[
         F.array_sort(F.collect_list(F.when(F.col("col") == out, F.struct(
@@ -110,8 +110,7 @@ def decode(df: DataFrame, ids_col: str, vocab: DataFrame, key: str = "row_id",
     """Ids -> tokens; ids the vocabulary lacks are counted in ``unknown_ids``."""
     ids = until_eos(F.col(ids_col)) if strip_special else F.col(ids_col)
     exploded = df.select(key, F.posexplode(ids).alias("pos", "id"))
-    found = lookup(exploded, with_specials(vocab).select("id", "token", "n"), "id",
-                   settings=settings)
+    found = lookup(exploded, with_specials(vocab).select("id", "token"), "id", settings)
     known = F.when(F.col("token").isNotNull(), F.struct("pos", "token"))
     per_row = found.groupBy(key).agg(
         F.array_sort(F.collect_list(known)).alias("_d"),

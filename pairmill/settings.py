@@ -34,8 +34,8 @@ class Settings:
     literal_entries: int = 1_000
     broadcast_rows: int = 500_000
     broadcast_bytes: int = 64 << 20
-    hot_keys: int = 10_000
-    salt: int = 16
+    hot_keys: int = 2_000
+    hot_min_rows: int = 100_000
 
     @property
     def max_query_words(self) -> int:

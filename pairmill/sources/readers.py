@@ -54,25 +54,34 @@ def read_query_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def query_column(schema: T.StructType) -> str:
     """The column that holds the queries, by type and name."""
-    strings = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    textual = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    strings = [f.name for f in schema if isinstance(f.dataType, textual)]
     candidates = strings or schema.fieldNames()
     return next((c for c in candidates if c.lower() in fixed.QUERY_COLUMNS), candidates[0])
 
 
-def queries_of(df: DataFrame) -> DataFrame:
-    return df.select(F.col(f"`{query_column(df.schema)}`").cast("string").alias("query"))
+def queries_of(df: DataFrame, column: str | None = None) -> DataFrame:
+    column = column or query_column(df.schema)
+    return df.select(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).alias("query"))
 
 
 def read_queries(spark: SparkSession, path: str,
                  schema: T.StructType | None = None) -> DataFrame:
-    """Query file of either kind, chosen by its ending."""
+    """Query file of either kind, chosen by its ending.
+
+    Without a declared schema the types are looked at once, only to find the
+    column; the values themselves are read as text.
+    """
     if not path.lower().endswith(".csv"):
         return read_query_lines(spark, path)
     reader = spark.read.options(**_CSV)
-    df = reader.schema(schema).csv(path) if schema else reader.csv(path)
+    if schema is not None:
+        return queries_of(reader.schema(schema).csv(path))
+    df = reader.csv(path)
     if not df.columns:
         return spark.createDataFrame([], "query string")
-    return queries_of(df)
+    inferred = spark.read.options(**_CSV, inferSchema=True).csv(path).schema
+    return queries_of(df, query_column(inferred))
 
 
 def read_dictionary(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
