@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pairmill.functions.basics import empty_strings, let
 from pairmill.settings import EOS, PAD, SOS
 
+# Keeps a zero-width scan from stopping inside a surrogate pair.
+_WHOLE = r"(?![\x{DC00}-\x{DFFF}])"
 _COUNTER = "\x02"     # separates a key from its repeat number
 
 
@@ -26,14 +28,13 @@ def ngram_keys(tokens: Column, n: int) -> Column:
     """
     if n == 1:
         return tokens
-    gram = rf"(?<![^ ])(?=([^ ]+(?: [^ ]+){{{n - 1}}}))"
+    gram = rf"{_WHOLE}(?<![^ ])(?=([^ ]+(?: [^ ]+){{{n - 1}}}))"
     return F.regexp_extract_all(F.array_join(tokens, " "), F.lit(gram), F.lit(1))
 
 
 def char_ngrams(text: Column, n: int) -> Column:
     """Overlapping n-grams of code points."""
-    # The first test keeps the scan from starting inside a surrogate pair.
-    gram = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{n}}}))"
+    gram = rf"(?s){_WHOLE}(?=(.{{{n}}}))"
     return F.regexp_extract_all(text, F.lit(gram), F.lit(1))
 
 

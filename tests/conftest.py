@@ -29,3 +29,14 @@ def value(spark):
         df = spark.createDataFrame([tuple(inputs.values())], fields)
         return df.select(build(*[df[k] for k in inputs]).alias("v")).first().v
     return run
+
+
+@pytest.fixture(scope="session")
+def values(spark):
+    """Evaluate one column over many rows; each row is one value or a tuple."""
+    def run(build, rows, schema="c string"):
+        data = [(i, *(r if isinstance(r, tuple) else (r,))) for i, r in enumerate(rows)]
+        df = spark.createDataFrame(data, "i int, " + schema).coalesce(1)
+        cols = [df[c] for c in df.columns[1:]]
+        return [r.v for r in df.select("i", build(*cols).alias("v")).orderBy("i").collect()]
+    return run

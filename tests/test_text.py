@@ -8,7 +8,7 @@ from pairmill.functions import fixed, text
 SLOTS = {"Order Number": "<ph_order_number>", "Invoice Number": "<ph_invoice_number>"}
 
 
-@pytest.mark.parametrize("raw, tokens", [
+QUERIES = [
     ("<p>Where is my order 4471902?</p>", "where is my order <ph_order_number> ?"),
     ("There is a wrong charge on my invoice 88231",
      "there is a wrong charge on my invoice <ph_invoice_number>"),
@@ -25,12 +25,15 @@ SLOTS = {"Order Number": "<ph_order_number>", "Invoice Number": "<ph_invoice_num
     ("   ​ ", ""),
     ("already <ph_order_number> here", "already <ph_order_number> here"),
     ("don’t step-by-step café", "don't step-by-step caf é"),
-])
-def test_prepare_query(value, raw, tokens):
-    assert value(lambda c: text.prepare_query(c, SLOTS), c=raw) == tokens.split()
+]
+
+
+def test_prepare_query(values):
+    got = values(lambda c: text.prepare_query(c, SLOTS), [raw for raw, _ in QUERIES])
+    assert got == [tokens.split() for _, tokens in QUERIES]
 
 
-@pytest.mark.parametrize("raw, cleaned", [
+CLEANED = [
     ("Heyyy!!! ???", "heyy! ?"),
     ("see https://shop.example.com/a?b=1, thx", "see <url> thx"),
     ("WWW.Example.com now", "<url> now"),
@@ -44,9 +47,12 @@ def test_prepare_query(value, raw, tokens):
     ("“Hi” – it’s", '"hi" - it\'s'),
     ("tab\tand nbsp line", "tab and nbsp line"),
     ("a.@b2 a_@b2", "a. <user> a_@b2"),
-])
-def test_clean_text(value, raw, cleaned):
-    assert value(lambda c: text.clean_text(c, SLOTS), c=raw) == cleaned
+]
+
+
+def test_clean_text(values):
+    got = values(lambda c: text.clean_text(c, SLOTS), [raw for raw, _ in CLEANED])
+    assert got == [cleaned for _, cleaned in CLEANED]
 
 
 def test_chat_words_only_on_request(value):
@@ -54,14 +60,17 @@ def test_chat_words_only_on_request(value):
     assert value(lambda c: text.clean_text(c, chat=True), c="pls u") == "please you"
 
 
-@pytest.mark.parametrize("raw, flag", [
+AUTOMATED = [
     ("This is an automated message, please do not reply to this email.", True),
     ("Your ticket has been created automatically. Out of office until Monday.", True),
     ("AUTOGENERATED RESPONSE", True),
     ("I understand you would like to cancel your order.", False),
-])
-def test_automated(value, raw, flag):
-    assert value(text.is_automated, c=raw) is flag
+]
+
+
+def test_automated(values):
+    got = values(text.is_automated, [raw for raw, _ in AUTOMATED])
+    assert got == [flag for _, flag in AUTOMATED]
 
 
 @pytest.mark.parametrize("tokens, limit, kept", [
@@ -73,12 +82,15 @@ def test_truncate(value, tokens, limit, kept):
     assert out == kept.split()
 
 
-@pytest.mark.parametrize("name, slot", [
+SLUGS = [
     ("Order Number", "<ph_order_number>"), ("  A--b c ", "<ph_a_b_c>"),
     ("§§", fixed.GENERIC_SLOT), ("", fixed.GENERIC_SLOT),
-])
-def test_slug(value, name, slot):
-    assert value(text.slug, c=name) == slot
+]
+
+
+def test_slug(values):
+    got = values(text.slug, [name for name, _ in SLUGS])
+    assert got == [slot for _, slot in SLUGS]
 
 
 def test_slots_need_no_map(value):
