@@ -12,7 +12,7 @@ from pairmill.functions.basics import compute_once
 from pairmill.operators import gate, vocab
 from pairmill.sources.staging import stage
 
-_TRAIN_TOKENS = q.PREPARED_LINES + """,
+TRAIN_TOKENS = q.PREPARED_LINES + """,
 tt as (select unnest(query_tokens) as token from prep where split = 'train'
   union all select unnest(response_tokens) from prep where split = 'train'),
 tc as materialized (select token, count(*) as n from tt
@@ -25,23 +25,23 @@ def train_lines(spark, sf):
     return prepared_lines(spark, sf).where(F.col("split") == "train")
 
 
-@query(_TRAIN_TOKENS + " select token, n from tc")
+@query(TRAIN_TOKENS + " select token, n from tc")
 def token_counts(spark, sf):
     return vocab.token_counts(train_lines(spark, sf), ["query_tokens", "response_tokens"])
 
 
-@query(_TRAIN_TOKENS + " select token, id, n from vo order by id")
+@query(TRAIN_TOKENS + " select token, id, n from vo order by id")
 def vocabulary(spark, sf):
     return vocab.build_vocab(train_lines(spark, sf), ["query_tokens", "response_tokens"])
 
 
-@query(_TRAIN_TOKENS + " select token, id, n from vo where id < 1000 order by id")
+@query(TRAIN_TOKENS + " select token, id, n from vo where id < 1000 order by id")
 def vocabulary_of_fixed_size(spark, sf):
     return vocab.build_vocab(train_lines(spark, sf), ["query_tokens", "response_tokens"],
                              max_size=1000)
 
 
-@query(_TRAIN_TOKENS + """,
+@query(TRAIN_TOKENS + """,
 al as (select unnest(query_tokens) as token from prep union all select unnest(response_tokens) from prep)
 select round(sum(case when id is not null then 1 else 0 end) / count(*), 6) as coverage
 from al left join vo using (token)""")
@@ -54,7 +54,7 @@ def token_coverage(spark, sf):
     return vocab.coverage(summed(counts), words).select(F.round("coverage", 6).alias("coverage"))
 
 
-@query(_TRAIN_TOKENS + """,
+@query(TRAIN_TOKENS + """,
 te as (select row_id, unnest(case when len(response_tokens) = 0 then [null] else response_tokens end) as token
   from prep where split <> 'train')
 select row_id, round(coalesce(sum(case when token is not null and id is null then 1 else 0 end)
@@ -67,7 +67,7 @@ def token_oov_ratio(spark, sf):
     return out.select("row_id", F.round("oov_ratio", 6).alias("oov_ratio"))
 
 
-_ENCODED = _TRAIN_TOKENS + """,
+_ENCODED = TRAIN_TOKENS + """,
 ex as (select row_id, 'q' as side, unnest(query_tokens[1:30]) as token,
    generate_subscripts(query_tokens[1:30], 1) as p from prep
  union all select row_id, 'r', unnest(response_tokens[1:118]),

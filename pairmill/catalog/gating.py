@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
-from pairmill.catalog.dictionaries import LEXICON, train_lines
+from pairmill.catalog.dictionaries import LEXICON, TRAIN_TOKENS, train_lines
 from pairmill.catalog.inputs import dialogues, joined, prepared_lines, table
 from pairmill.catalog.registry import query
+from pairmill.catalog.scores import MODEL
+from pairmill.catalog.texts import render_sql
 from pairmill.functions import fixed, text
 from pairmill.functions.basics import compute_once
 from pairmill.operators import gate, hypotheses, lm, vocab
@@ -187,18 +189,54 @@ def answered(spark, sf, limit=None):
     return answer_batch(queries, candidates, lexicon, words, settings=settings, limit=limit)
 
 
-@query()
+def _tail(ctes: str) -> str:
+    """The part of a CTE chain after the prepared lines."""
+    return ctes[len(q.PREPARED_LINES):]
+
+
+_ANSWERS_SQL = LEXICON + _tail(TRAIN_TOKENS) + _tail(MODEL) + f""",
+{q.DIALOGUES},
+dq as materialized (select row_id, query, {q.query_tokens(q.clean('query', True))} as qt,
+  {q.truncate(q.tokens(q.clean('response')))} as rt from dp),
+ca as (select row_id, 1 as hyp_id, rt as toks from dq union all select row_id, 2, qt[1:118] from dq),
+cb as (select row_id, hyp_id, vw[1] as v, vw[2] as w from (select row_id, hyp_id,
+  unnest(list_zip(list_concat(['<sos>'], toks), list_concat(toks, ['<eos>']))) as vw from ca)),
+cs as (select row_id, hyp_id, count(*) as len, sum(ln(case when nv is null then (coalesce(nw, 0) + 1) / d
+   else 0.7 * coalesce(n, 0) / nv + 0.3 * (coalesce(nw, 0) + 1) / d end)) as lp
+  from cb left join cvw using (v, w) left join cv using (v) left join cw using (w), sz group by all),
+be as (select * from cs qualify row_number() over (partition by row_id
+  order by lp / pow(len, 0.7) desc, hyp_id) = 1),
+vl as (select list(token) as vocabulary from vo),
+kn as (select list(token) filter (where known) as known,
+  list(token) filter (where anchor_rank is not null) as anchors from lx),
+dr as (select row_id, lp / len as logprob, list_transform(toks, lambda t:
+   case when list_contains(vocabulary, t) then t else '<unk>' end) as raw
+  from be join ca using (row_id, hyp_id), vl),
+g0 as (select *, {q.content('qt')} as cw from dq join dr using (row_id)),
+g1 as (select *, list_filter(cw, lambda w: not list_contains(known, w)) as unknown,
+   cast(len(list_filter(cw, lambda w: list_contains(anchors, w))) as integer) as n_anchors from g0, kn),
+g2 as (select *, case when len(cw) > 0 then len(unknown) / len(cw)
+   when len(list_filter(qt, lambda w: starts_with(w, '<ph_'))) > 0 then 0.0 else 1.0 end as oov from g1),
+aw as materialized (select row_id as query_id, query,
+  case when len(qt) > 0 and oov <= 0.5 and logprob >= -9.0 then {render_sql('raw')}
+   else {q.lit(fixed.REFUSAL)} end as response,
+  {_VERDICT.replace('-1.5', '-9.0')}, {_REASON.replace('-1.5', '-9.0')} from g2)"""
+
+
+@query(_ANSWERS_SQL + """ select query_id, query, response, in_scope, oov_ratio, n_anchors, avg_logprob, reason
+ from aw""")
 def answers(spark, sf):
     out = answered(spark, sf)
     return out.select("query_id", "query", "response", "in_scope", "oov_ratio", "n_anchors",
                       "avg_logprob", "reason")
 
 
-@query()
+@query(_ANSWERS_SQL + f""" select count(*) filter (where not in_scope) as out_of_scope,
+ cast(floor(avg({q.word_count('response')})) as bigint) as mean_words from aw""")
 def answer_summary(spark, sf):
     return batch_summary(answered(spark, sf))
 
 
-@query()
+@query(_ANSWERS_SQL + " select query_id, in_scope, reason from aw order by query_id limit 100")
 def answers_with_row_limit(spark, sf):
     return answered(spark, sf, limit=100).select("query_id", "in_scope", "reason")

@@ -170,7 +170,7 @@ def mean_lengths(spark, sf):
     return out.select("strategy", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
 
 
-_MODEL = q.PREPARED_LINES + """,
+MODEL = q.PREPARED_LINES + """,
 bg as (select row_id, split, unnest(list_zip(list_concat(['<sos>'], response_tokens),
    list_concat(response_tokens, ['<eos>']))) as vw from prep),
 b as materialized (select row_id, split, vw[1] as v, vw[2] as w from bg),
@@ -182,13 +182,13 @@ lpr as (select row_id, split, ln(case when nv is null then (coalesce(nw, 0) + 1)
  from b left join cvw using (v, w) left join cv using (v) left join cw using (w), sz)"""
 
 
-@query(_MODEL + " select v, w, n from cvw")
+@query(MODEL + " select v, w, n from cvw")
 def reply_bigrams(spark, sf):
     grams = train_lines(spark, sf).select(F.inline(lm.bigrams(F.col("response_tokens"))))
     return grams.groupBy("v", "w").agg(F.count("*").alias("n"))
 
 
-@query(_MODEL + " select row_id, round(avg(lp), 6) as avg_logprob from lpr where split <> 'train' group by 1")
+@query(MODEL + " select row_id, round(avg(lp), 6) as avg_logprob from lpr where split <> 'train' group by 1")
 def reply_logprobs(spark, sf):
     prep = stage(prepared_lines(spark, sf), "prepared")
     model = lm.train_reply_model(prep.where("split = 'train'"))
@@ -196,7 +196,7 @@ def reply_logprobs(spark, sf):
     return out.select("row_id", F.round("avg_logprob", 6).alias("avg_logprob"))
 
 
-@query(_MODEL + """ select split, round(exp(-sum(lp) / count(*)), 5) as perplexity,
+@query(MODEL + """ select split, round(exp(-sum(lp) / count(*)), 5) as perplexity,
  count(*) as n_tokens from lpr group by 1""")
 def perplexity(spark, sf):
     prep = stage(prepared_lines(spark, sf), "prepared")

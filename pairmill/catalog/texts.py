@@ -130,7 +130,7 @@ def reply_prefixes(spark, sf):
     return counted.select("reply", "n", text.prefix(F.col("reply")).alias("shown"))
 
 
-def _render_sql(toks: str) -> str:
+def render_sql(toks: str) -> str:
     """Spacing rules as a list expression; quotes by their ordinal number."""
     surfaces = ", ".join(f"{q.lit(k)}: {q.lit(v)}" for k, v in fixed.SURFACES.items())
     titled = ("'{{' || array_to_string(list_transform(regexp_extract_all(replace(tk[5:-2], '_', ' '), "
@@ -171,7 +171,7 @@ def _render_sql(toks: str) -> str:
 
 @query(q.CLEANED_SUPPORT + f", tk as (select row_id, {q.tokens('response_clean')} as toks, "
        "string_split(query_clean, ' ') as qt from cl) "
-       f"select row_id, {_render_sql('qt')} as query_text, {_render_sql('toks')} as reply_text from tk")
+       f"select row_id, {render_sql('qt')} as query_text, {render_sql('toks')} as reply_text from tk")
 def render_support(spark, sf):
     usable = usable_pairs(support_rows(spark, sf))
     mapping = slots.small_map(stage(slots.slot_map(usable, ["query", "response"]), "slots"))
@@ -182,7 +182,7 @@ def render_support(spark, sf):
                        render(F.col("rt")).alias("reply_text"))
 
 
-@query(f"select doc_id, {_render_sql(q.tokens('lower(text)'))} as reply from documents")
+@query(f"select doc_id, {render_sql(q.tokens('lower(text)'))} as reply from documents")
 def render_documents(spark, sf):
     return texts(spark, sf, "documents").select(
         "doc_id", render(text.tokenize(F.lower("text"))).alias("reply"))

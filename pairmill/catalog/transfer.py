@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
-from pairmill.catalog.dictionaries import _TRAIN_TOKENS, train_lines
+from pairmill.catalog.dictionaries import TRAIN_TOKENS, train_lines
 from pairmill.catalog.inputs import dialogues, prepared_lines, support_rows, table, texts
 from pairmill.catalog.registry import query
+from pairmill.catalog.texts import render_sql
 from pairmill.functions import text
 from pairmill.operators import filters, vocab
 from pairmill.schema import PREPARED_PAIRS
@@ -69,7 +70,7 @@ def split_folders(spark, sf):
         "row_id", "query_clean", F.array_join("response_tokens", " ").alias("reply"))
 
 
-@query(_TRAIN_TOKENS + " select token, id, n from vo")
+@query(TRAIN_TOKENS + " select token, id, n from vo")
 def vocabulary_file(spark, sf):
     words = vocab.build_vocab(train_lines(spark, sf), ["query_tokens", "response_tokens"])
     path = stage_path(spark, "vocab") + ".json"
@@ -109,7 +110,11 @@ def rating_sample(spark, sf):
                          text.word_count(F.col("text")).cast("bigint").alias("n_words"))
 
 
-@query()
+@query(q.PREPARED_LINES + f""", sa as (select * from prep
+ order by md5('42:' || cast(row_id as varchar)), row_id limit 20)
+select {render_sql('query_tokens')} as query, {render_sql('response_tokens')} as reference_reply,
+ {render_sql('query_tokens')} as generated_reply, intent, '' as relevance_1_to_5, '' as fluency_1_to_5,
+ '' as would_send_as_is_yes_no, '' as rater_comment from sa""")
 def rating_sheet(spark, sf):
     rows = prepared_lines(spark, sf).select(
         "row_id", "query_clean", F.array_join("response_tokens", " ").alias("response_clean"),

@@ -29,6 +29,9 @@ AUTOMATED = (r"(?iu)this is an automated (?:message|response|reply)"
              r"|your ticket (?:has been|was) (?:created|opened|logged) automatically"
              r"|out of office"
              r"|unsubscribe from these (?:e-?mails|notifications)")
+# One of these is part of every match above.
+AUTOMATED_NEEDLES = ("automated", "do not reply", "generated", "automatically",
+                     "out of office", "unsubscribe")
 
 GENERIC_SLOT = "<ph_details>"
 INVOICE_SLOT = "<ph_invoice_number>"

@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType
 from pairmill.functions import fixed
 from pairmill.functions.arrays import char_ngrams, clipped_matches, ngram_keys
 from pairmill.functions.basics import let
+from pairmill.functions.text import words
 
 
 def tokens_13a(text: Column) -> Column:
@@ -20,16 +21,17 @@ def tokens_13a(text: Column) -> Column:
     for entity, plain in (("&quot;", '"'), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">")):
         text = F.replace(text, F.lit(entity), F.lit(plain))
     text = F.concat(F.lit(" "), text, F.lit(" "))
-    text = F.regexp_replace(text, r"([\{-~\[-` -&\(-\+:-@/])", " $1 ")
+    # The published class also pads the space itself, which changes no token.
+    text = F.regexp_replace(text, r"([\{-~\[-`!-&\(-\+:-@/])", " $1 ")
     text = F.regexp_replace(text, r"([^0-9])([.,])", "$1 $2 ")
     text = F.regexp_replace(text, r"([.,])([^0-9])", " $1 $2")
     text = F.regexp_replace(text, r"([0-9])(-)", "$1 $2 ")
-    return F.filter(F.split(text, f"[{fixed.SPACE}]+", -1), lambda w: w != "")
+    return words(text)
 
 
 def tokens_rouge(text: Column) -> Column:
     """Lower-cased ASCII alphanumerics; no stemming."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda w: w != "")
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
 def overlap(hyp: Column, ref: Column, orders: range | list[int], grams) -> Column:

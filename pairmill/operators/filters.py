@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmill.functions import text
+from pairmill.functions.basics import compute_once
 from pairmill.settings import Settings
 
 
@@ -22,7 +23,8 @@ def automated_pair() -> Column:
 
 
 def drop_automated(df: DataFrame) -> DataFrame:
-    return df.where(~automated_pair())
+    # Behind the generator the test stays where it is written, after any spread.
+    return compute_once(df, _automated=automated_pair()).where(~F.col("_automated")).drop("_automated")
 
 
 def proper_length(query: str = "query_clean", reply: str = "response_clean",
