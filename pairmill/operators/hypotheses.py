@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairmill.operators.lookup import lookup
 from pairmill.settings import EOS, Settings
+from pairmill.sources.staging import stage
 
 
 def best_hypothesis(hypotheses: DataFrame, alpha: float = Settings.length_penalty,
@@ -20,14 +22,16 @@ def best_hypothesis(hypotheses: DataFrame, alpha: float = Settings.length_penalt
                     (F.col("logprob_sum") / length).alias("avg_logprob")))
 
 
-def cut_at_eos(token_logprobs: DataFrame) -> DataFrame:
+def cut_at_eos(token_logprobs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(query_id, n_tokens, avg_logprob) of per-step rows up to the end mark.
 
     The mean includes the step that produced the mark; the tokens do not.
     """
     ends = token_logprobs.groupBy("query_id").agg(
         F.min(F.when(F.col("token_id") == EOS, F.col("pos"))).alias("_end"))
-    live = (token_logprobs.join(ends, "query_id")
+    # One row per query; the lookup keeps a query with endless steps spread out.
+    ends = stage(ends.where(F.col("_end").isNotNull()), "ends")
+    live = (lookup(token_logprobs, ends, "query_id", settings)
             .where(F.col("_end").isNull() | (F.col("pos") <= F.col("_end"))))
     steps = F.greatest(F.count("*"), F.lit(1))
     return live.groupBy("query_id").agg(

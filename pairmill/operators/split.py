@@ -88,5 +88,6 @@ def split_sizes(df: DataFrame) -> DataFrame:
 
 def shared_keys(left: DataFrame, right: DataFrame, key: str = "query_clean") -> DataFrame:
     """Distinct keys found on both sides; must be 0 for train and test."""
-    return (left.select(key).intersect(right.select(key))
+    # Distinct before the join, so that a key with many rows arrives once.
+    return (left.select(key).distinct().join(right.select(key).distinct(), key)
             .agg(F.count("*").alias("shared")))
