@@ -10,7 +10,7 @@ from pairmill.catalog.inputs import dialogues, prepared_lines, support_rows, tab
 from pairmill.catalog.registry import query
 from pairmill.catalog.texts import render_sql
 from pairmill.functions import text
-from pairmill.operators import filters, vocab
+from pairmill.operators import filters, metrics, vocab
 from pairmill.schema import PREPARED_PAIRS
 from pairmill.sources import readers, writers
 from pairmill.sources.staging import stage, stage_path
@@ -78,6 +78,20 @@ def vocabulary_file(spark, sf):
     return readers.read_dictionary(spark, path, "token string, id int, n bigint")
 
 
+@query(f"""with c as (select lang, lower({q.trim_space('text')}) as r, count(*) as n from documents group by all),
+g as (select lang, cast(count(*) as double) as u,
+  round(sum(case when n > 1 then n else 0 end) / sum(n), 4) as s from c group by 1)
+select lang as strategy, 'unique_responses' as metric, u as value from g
+union all select lang, 'repeated_response_rate', s from g""")
+def metrics_file(spark, sf):
+    """Metrics as narrow rows through JSON."""
+    replies = table(spark, sf, "documents").select(F.col("lang").alias("strategy"), "text")
+    rows = metrics.narrow(metrics.genericity(replies, "text", ["strategy"]), "strategy")
+    path = stage_path(spark, "metrics") + ".json"
+    writers.write_dictionary(rows, path)
+    return readers.read_dictionary(spark, path, rows.schema)
+
+
 @query("""select l_comment as query, reply as generated_response, ok as in_scope, ratio as unknown_word_ratio,
  lp as mean_logprob from (select text as l_comment, lang as reply, n_chars > 500 as ok,
  n_chars / 64.0 as ratio, -n_chars / 32.0 as lp from documents)""")

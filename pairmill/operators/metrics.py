@@ -108,7 +108,8 @@ def mean_lengths(df: DataFrame, by: list[str], hyp: str = "hyp", ref: str = "ref
         F.avg(word_count(F.col(ref))).alias("mean_reference_tokens"))
 
 
-def _narrow(df: DataFrame, by: str) -> DataFrame:
+def narrow(df: DataFrame, by: str) -> DataFrame:
+    """One row per metric: (by, metric, value)."""
     names = [c for c in df.columns if c != by]
     rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
                      for c in names])
@@ -132,9 +133,9 @@ def report(df: DataFrame, scores: DataFrame | None = None, by: str = "strategy",
              genericity(df, "hyp", [by]), mean_lengths(df, [by])]
     if with_rouge_l:
         parts.append(rouge_l(df).groupBy(by).agg(F.avg("rougeL").alias("rougeL")))
-    narrow = reduce(DataFrame.unionByName, [_narrow(p, by) for p in parts])
+    rows = reduce(DataFrame.unionByName, [narrow(p, by) for p in parts])
     value = F.col("value")
     rounded = F.round(value, 4)
     for metric, digits in _DIGITS.items():
         rounded = F.when(F.col("metric") == metric, F.round(value, digits)).otherwise(rounded)
-    return narrow.select(by, "metric", rounded.alias("value"))
+    return rows.select(by, "metric", rounded.alias("value"))

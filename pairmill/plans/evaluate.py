@@ -26,5 +26,5 @@ def evaluate(aligned: DataFrame, prepared: DataFrame, model: lm.ReplyModel,
     out = out.unionByName(ppl)
     if gated is not None:
         rates = gate.gate_rates(gated).withColumn("strategy", F.lit("all"))
-        out = out.unionByName(metrics._narrow(rates, "strategy"))
+        out = out.unionByName(metrics.narrow(rates, "strategy"))
     return out

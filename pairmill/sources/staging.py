@@ -8,12 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a fresh folder where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests on one
+    machine), one new folder per application."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="pairmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.mkdtemp(prefix="pairmill-")
+        folder = _own_folders[app]
     return folder.rstrip("/")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from pairmill.functions.text import clean_text
 from pairmill.operators import gate
-from pairmill.sources import pairs, readers, writers
+from pairmill.sources import pairs, readers, staging, writers
 from pairmill.streaming import live
 
 
@@ -130,3 +130,28 @@ def test_cleaning_keeps_typed_tokens(spark):
     df = spark.createDataFrame([("ask <ph_order_number> at <url> or <email> .",)], "c string")
     once = df.select(clean_text(F.col("c")).alias("c"))
     assert once.first().c == once.select(clean_text(F.col("c"))).first()[0] == df.first().c
+
+
+def test_shared_folder(spark):
+    class Conf:
+        def __init__(self, folder):
+            self.folder = folder
+
+        def get(self, key, default):
+            return self.folder
+
+    class Session:
+        sparkContext = spark.sparkContext
+
+        def __init__(self, folder):
+            self.conf = Conf(folder)
+    assert staging.shared_dir(Session("s3://shared/x/")) == "s3://shared/x"
+    own = staging.shared_dir(Session(None))
+    assert own == staging.shared_dir(Session(None)) and "pairmill-" in own
+
+
+def test_spread(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert staging.spread(spark.range(9).coalesce(1)).rdd.getNumPartitions() == cores
+    wide = spark.range(9).repartition(cores + 3)
+    assert staging.spread(wide) is wide
