@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairmill.llm import exact, idfiles, packing, simhash
+from pairmill.llm import exact, idfiles, packing, repeats, simhash
 from pairmill.llm.common import documents
 from pairmill.sources.staging import stage_path
 
@@ -19,6 +19,11 @@ def query(run):
     return run
 
 
+@query
+def op1_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
