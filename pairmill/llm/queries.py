@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairmill.llm import exact, idfiles, packing, repeats, simhash
+from pairmill.llm import exact, idfiles, lines, packing, repeats, simhash
 from pairmill.llm.common import documents
 from pairmill.sources.staging import stage_path
 
@@ -36,6 +36,11 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read_ids(spark, path)
 
 
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(documents(spark, sf_dir))
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))
