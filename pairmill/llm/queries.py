@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairmill.llm import exact, idfiles, lines, packing, repeats, simhash
+from pairmill.llm import (exact, grading, idfiles, language, lines, packing, pieces, quality, repeats,
+                          simhash)
 from pairmill.llm.common import documents
 from pairmill.sources.staging import stage_path
 
@@ -29,6 +31,24 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def language_training(docs: DataFrame) -> DataFrame:
+    """Labelled documents outside the held-out third."""
+    return docs.where("pmod(crc32(cast(doc_id as string)), 3) <> 1 and lang is not null")
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return language.identified(docs, language_training(docs)).select(
+        "doc_id", F.expr("crc32(cast(doc_id as string)) % 3 = 1").alias("held_out"), "lang_pred", "score",
+        F.size("spans").alias("n_spans"))
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(documents(spark, sf_dir))
+
+
 @query
 def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "token-ids")
@@ -36,11 +56,24 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read_ids(spark, path)
 
 
+@query
+def op6_piece_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.segmented(documents(spark, sf_dir))
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(documents(spark, sf_dir))
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: toxic 0, of low quality 1, good 2."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select(
+        "doc_id", F.expr("case when toxic = 1 then 0 else 1 + quality end").alias("grade"))
+    return grading.graded(documents(spark, sf_dir), labels)
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(documents(spark, sf_dir))

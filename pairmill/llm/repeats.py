@@ -19,9 +19,11 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from pairmill.llm.common import blobs, blocks, texts
 from pairmill.llm.skew import attach
@@ -304,6 +306,12 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+@F.pandas_udf(StringType())
+def kept_text(kept: pd.Series) -> pd.Series:
+    """Text of kept bytes. A character that lost some of its bytes is left out whole."""
+    return kept.map(lambda x: None if x is None else bytes(x).decode(errors="ignore"))
+
+
 def kept_runs(n: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What the spans leave of ``n`` bytes."""
     runs, at = [], 0
