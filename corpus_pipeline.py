@@ -1,22 +1,61 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage's result is written to the cluster's shared folder and read again by the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pairmill.llm import language, lines, packing, repeats, simhash
+from pairmill.llm.queries import language_training
+from pairmill.sources.staging import stage
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter, and those of which no language has half the letters."""
+    found = language.identified(docs, language_training(docs)).where(
+        "lang_pred <> 'und' and score >= 0.5").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_semi")
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes lines that equal an earlier one but for two edits, and documents left without any."""
+    return lines.without_repeated_lines(docs)
+
+
+def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps of each SimHash component the document with the smallest id."""
+    gone = simhash.near_duplicates(docs).where("doc_id <> component_id or doc_id is null and "
+                                               "component_id is not null")
+    gone = gone.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+
 
-from pairmill.llm import packing
+def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes bytes of 100-byte strings that start earlier, and documents left without a word."""
+    found = repeats.without_repeats(docs).where("n_removed > 0").select(
+        F.col("doc_id").alias("_id"), repeats.kept_text("kept").alias("_kept")).dropDuplicates(["_id"])
+    met = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left")
+    text = F.coalesce("_kept", "text")
+    return (met.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars"))
+                           .otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType))
+            .withColumn("text", text).where("_kept is null or _kept rlike '\\\\S'").select(*docs.columns))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs)
 
 
-STAGES = [("packing", pack_sequences)]
+STAGES = [("language", identify_language), ("lines", dedup_lines), ("near", dedup_near),
+          ("passages", dedup_passages), ("packing", pack_sequences)]
+#: Fingerprints, edit joins and tokenisation have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
