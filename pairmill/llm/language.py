@@ -102,22 +102,25 @@ class Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.rows = [np.zeros(len(self.model.languages))]
-        self.counts = [0]
+        self.used = 1
+        self.scores = np.zeros((1 << 14, len(self.model.languages)), np.float32)
+        self.letters = np.zeros(1 << 14, np.int32)
 
     def __missing__(self, piece: bytes) -> int:
         word = letters_of(piece)
         number = 0
         if word:
             script = script_of(word)
-            number = len(self.rows)
+            number = self.used
+            if number == len(self.letters):
+                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+                self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
             if self.model.known[script]:
                 # Grams of a word overlap, so their sum counts the same evidence about thrice.
                 own = self.model.scores[grams(word)].sum(0) / 3 + self.model.scripts[script]
-                self.rows.append(np.maximum(own - own.max(), -self.cap))
-            else:
-                self.rows.append(self.rows[0])
-            self.counts.append(len(word))
+                self.scores[number] = np.maximum(own - own.max(), -self.cap)
+            self.letters[number] = len(word)
+            self.used += 1
         self[piece] = number
         return number
 
@@ -179,7 +182,7 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
                 words.reset()
             pieces = [t.split() for t in blobs(block.column("text"))]
             ids = [np.fromiter(map(words.__getitem__, p), np.int64, len(p)) for p in pieces]
-            scores, counts = np.array(words.rows), np.array(words.counts)
+            scores, counts = words.scores, words.letters
             labels = viterbi(ids, scores, penalty) if model.languages else ids
             out = []
             for own, seen in zip(labels, ids, strict=True):
@@ -188,7 +191,7 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
                     out.append(("und", 0.0, []))
                     continue
                 share = np.bincount(own, letters, len(model.languages)) / letters.sum()
-                told = bool(np.ptp(scores[seen], axis=1).any())
+                told = bool(scores[seen].any())
                 top = int(share.argmax()) if told else model.common
                 first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
                 sizes = np.diff(np.append(first, len(own)))
