@@ -11,7 +11,7 @@ from pairmill.functions import fixed, text
 from pairmill.functions.basics import compute_once
 from pairmill.functions.render import render
 from pairmill.operators import slots
-from pairmill.plans.prepare import usable_pairs
+from pairmill.plans.prepare import clean_pairs, usable_pairs
 from pairmill.sources.staging import stage
 
 
@@ -35,18 +35,19 @@ def strip_page_markup(spark, sf):
 
 @query(q.CLEANED_SUPPORT + " select row_id, query_clean from cl")
 def prepare_support_queries(spark, sf):
+    return _cleaned_support(spark, sf).select("row_id", "query_clean")
+
+
+def _cleaned_support(spark, sf):
+    """Cleaned pairs by their own slot map, a constant or a join as its size demands."""
     usable = usable_pairs(support_rows(spark, sf))
-    mapping = slots.small_map(stage(slots.slot_map(usable, ["query", "response"]), "slots"))
-    return usable.select("row_id", F.array_join(
-        text.prepare_query(F.col("query"), mapping), " ").alias("query_clean"))
+    mapping = stage(slots.slot_map(usable, ["query", "response"]), "slots")
+    return clean_pairs(usable, mapping)
 
 
 @query(q.CLEANED_SUPPORT + " select row_id, response_clean from cl")
 def clean_support_replies(spark, sf):
-    usable = usable_pairs(support_rows(spark, sf))
-    mapping = slots.small_map(stage(slots.slot_map(usable, ["query", "response"]), "slots"))
-    return usable.select("row_id", text.clean_text(F.col("response"), mapping)
-                         .alias("response_clean"))
+    return _cleaned_support(spark, sf).select("row_id", "response_clean")
 
 
 @query(q.SUPPORT_SLOTS + f""" select row_id, {q.fill_slots('response', q._NAMED)} as filled
@@ -173,11 +174,8 @@ def render_sql(toks: str) -> str:
        "string_split(query_clean, ' ') as qt from cl) "
        f"select row_id, {render_sql('qt')} as query_text, {render_sql('toks')} as reply_text from tk")
 def render_support(spark, sf):
-    usable = usable_pairs(support_rows(spark, sf))
-    mapping = slots.small_map(stage(slots.slot_map(usable, ["query", "response"]), "slots"))
-    toks = compute_once(
-        usable, qt=text.prepare_query(F.col("query"), mapping),
-        rt=text.tokenize(text.clean_text(F.col("response"), mapping)))
+    toks = compute_once(_cleaned_support(spark, sf), qt=F.split("query_clean", " ", -1),
+                        rt=text.tokenize(F.col("response_clean")))
     return toks.select("row_id", render(F.col("qt")).alias("query_text"),
                        render(F.col("rt")).alias("reply_text"))
 

@@ -12,10 +12,15 @@ _own_folders: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; where it is unset (tests on one
-    machine), one new folder per application."""
+    """The cluster's ``spark.checkpoint.dir``, or else the folder given to ``setCheckpointDir``. Where
+    neither is set, a session on one machine (tests) gets one new folder per application; a cluster
+    has no folder to fall back to, as its machines do not share their own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        folder = spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         app = spark.sparkContext.applicationId
         if app not in _own_folders:
             _own_folders[app] = tempfile.mkdtemp(prefix="pairmill-")

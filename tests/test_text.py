@@ -123,3 +123,39 @@ def test_words_and_lines(value):
 def test_fixed_lists():
     assert len(fixed.CHAT_WORDS) == 50
     assert len(set(fixed.STOPWORDS)) == 137
+
+
+def test_slot_map_size_changes_no_result(spark):
+    """As a constant or through a join, and beyond the constant's bound, slots stay typed."""
+    from dataclasses import replace
+
+    from pairmill.operators import slots
+    from pairmill.plans.prepare import clean_pairs
+    from pairmill.settings import Settings
+
+    rows = [(i, f"my {{{{Slot {i % 1001}}}}} is late", f"your {{{{Slot {i % 7}}}}} came") for i in range(2002)]
+    pairs = spark.createDataFrame(rows, "row_id long, query string, response string")
+    mapping = slots.slot_map(pairs, ["query", "response"], min_freq=2).cache()
+    got = [sorted(tuple(r) for r in clean_pairs(pairs, mapping, replace(Settings(), literal_entries=n))
+                  .select("row_id", "query_clean", "response_clean").collect()) for n in (0, 1000, 1001)]
+    assert got[0] == got[1] == got[2]
+    assert not any("ph_details" in r[1] for r in got[0])
+
+
+def test_staging_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from pairmill.sources.staging import shared_dir
+
+    def session(master, folder=None, given=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder), sparkContext=SimpleNamespace(
+            master=master, applicationId="app-1", getCheckpointDir=lambda: given))
+
+    assert shared_dir(session("yarn", "hdfs:///a/")) == "hdfs:///a"
+    assert shared_dir(session("yarn", None, "hdfs:///b")) == "hdfs:///b"
+    assert shared_dir(session("local[4]"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            shared_dir(session(master))
