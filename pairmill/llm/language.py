@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
-from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -12,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, texts
+from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
 
 GRAM_BITS = 14
+STEP_PIECES = 20_000
 #: First code points of ranges, and the script of each (0: none in particular).
 SCRIPTS = ((0, 1), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x780, 0), (0x900, 7),
            (0x980, 8), (0xA00, 0), (0xE00, 9), (0xE80, 0), (0x10A0, 10), (0x1100, 11), (0x1200, 0),
@@ -22,23 +22,40 @@ SCRIPTS = ((0, 1), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (
            (0xD7B0, 0), (0xF900, 12), (0xFB00, 1), (0xFB50, 6), (0xFE00, 0), (0xFF21, 1), (0xFF66, 13),
            (0xFFA0, 0), (0x20000, 12), (0x32000, 0))
 N_SCRIPTS = 14
-_EDGES = [s[0] for s in SCRIPTS]
+_EDGES = np.array([s[0] for s in SCRIPTS], np.uint64)
+_SCRIPTS = np.array([s[1] for s in SCRIPTS])
+#: Odd multipliers and marks of the gram hash.
+_STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_TRIPLE, _WHOLE = np.uint64(1 << 40), np.uint64(1 << 41)
 
 
 def letters_of(piece: bytes) -> str:
     """The letters of a white-space separated piece, in lower case."""
-    return "".join([c for c in piece.decode().lower() if c.isalpha()])
-
-
-def script_of(word: str) -> int:
-    return SCRIPTS[bisect_right(_EDGES, ord(word[0])) - 1][1]
-
-
-def grams(word: str) -> list[int]:
-    """Numbers of a word's pairs and triples of letters, edges marked, and of the word itself."""
-    data = f"^{word[:40]}$"
-    own = [data] + [data[i:i + 2] for i in range(len(data) - 1)] + [data[i:i + 3] for i in range(len(data) - 2)]
-    return [zlib.crc32(g.encode()) & (1 << GRAM_BITS) - 1 for g in own]
+    word = piece.decode().lower().strip(".,;:!?\"'()")
+    return word if word.isalpha() else "".join([c for c in word if c.isalpha()])
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the words' pairs and triples of letters, edges marked, and of the words themselves;
+    how many of them each word has; and each word's script."""
+    points = np.frombuffer("".join([f"^{w[:40]}$" for w in words]).encode("utf-32-le"), np.uint32)
+    points = np.append(points, np.uint32([0, 0])).astype(np.uint64)
+    sizes = np.fromiter((min(len(w), 40) + 2 for w in words), np.int64, len(words))
+    starts = np.cumsum(sizes) - sizes
+    at = np.arange(len(points) - 2)
+    place = at - np.repeat(starts, sizes)
+    left = np.repeat(sizes, sizes) - place  # letters from here to the end, edge included
+    pairs = points[:-2] * _STEP + points[1:-1]
+    powers = np.cumprod(np.full(42, _STEP, np.uint64), dtype=np.uint64)
+    whole = np.add.reduceat(points[:-2] * powers[place], starts)
+    # A word's grams stand together: at each place the pair, the triple, and at the edge the word.
+    table = np.stack([pairs, (pairs * _STEP + points[2:]) ^ _TRIPLE, np.zeros_like(pairs)], 1)
+    table[starts, 2] = whole ^ _WHOLE
+    real = np.stack([left > 1, left > 2, place == 0], 1)
+    keys = table[real]
+    keys = (keys ^ keys >> np.uint64(32)) * _MIX
+    scripts = _SCRIPTS[np.searchsorted(_EDGES, points[starts + 1], "right") - 1]
+    return (keys >> np.uint64(64 - GRAM_BITS)).astype(np.int64), 2 * sizes - 2, scripts
 
 
 class Model(NamedTuple):
@@ -63,17 +80,17 @@ def learned(rows: DataFrame, max_rows: int = 20_000) -> Model:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            counts: dict[str, np.ndarray] = {}
+            pieces: dict[str, Counter] = {}
             for lang, text in zip(block.column("lang").to_pylist(), blobs(block.column("text")), strict=True):
-                own = counts.setdefault(lang, np.zeros((1 << GRAM_BITS) + N_SCRIPTS, np.int64))
-                found: list[int] = []
-                for piece in text.split():
-                    word = letters_of(piece)
-                    if word:
-                        found += grams(word)
-                        found.append((1 << GRAM_BITS) + script_of(word))
-                own += np.bincount(np.array(found, np.int64), minlength=len(own))
-            for lang, own in counts.items():
+                pieces.setdefault(lang, Counter()).update(text.split())
+            for lang, seen in pieces.items():
+                found = [(w, n) for p, n in seen.items() if (w := letters_of(p))]
+                if not found:
+                    continue
+                times = np.array([n for _, n in found])
+                ids, sizes, scripts = grams([w for w, _ in found])
+                own = np.append(np.bincount(ids, np.repeat(times, sizes), 1 << GRAM_BITS),
+                                np.bincount(scripts, times, N_SCRIPTS)).astype(np.int64)
                 at = np.flatnonzero(own)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at),
                                                   pa.array(own[at])], ["lang", "gram", "n"])
@@ -102,27 +119,39 @@ class Words(dict):
 
     def reset(self) -> None:
         self.clear()
-        self.used = 1
+        self.used, self.held = 1, 0
         self.scores = np.zeros((1 << 14, len(self.model.languages)), np.float32)
         self.letters = np.zeros(1 << 14, np.int32)
 
-    def __missing__(self, piece: bytes) -> int:
-        word = letters_of(piece)
-        number = 0
-        if word:
-            script = script_of(word)
-            number = self.used
-            if number == len(self.letters):
-                self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
-            if self.model.known[script]:
-                # Grams of a word overlap, so their sum counts the same evidence about thrice.
-                own = self.model.scores[grams(word)].sum(0) / 3 + self.model.scripts[script]
-                self.scores[number] = np.maximum(own - own.max(), -self.cap)
-            self.letters[number] = len(word)
-            self.used += 1
-        self[piece] = number
-        return number
+    def add(self, pieces: set[bytes]) -> None:
+        """Score pieces that are new, ``STEP_PIECES`` at a time."""
+        new = list(pieces - self.keys())
+        self.held += sum(map(len, new))
+        for start in range(0, len(new), STEP_PIECES):
+            part = new[start:start + STEP_PIECES]
+            words = [letters_of(p) for p in part]
+            found = [w for w in words if w]
+            numbers = iter(range(self.used, self.used + len(found)))
+            self.update((p, next(numbers) if w else 0) for p, w in zip(part, words, strict=True))
+            if found:
+                self._score(found)
+
+    def _score(self, words: list[str]) -> None:
+        stop = self.used + len(words)
+        if stop > len(self.letters):
+            more = max(stop, 2 * len(self.letters)) - len(self.letters)
+            self.scores = np.concatenate([self.scores, np.zeros((more, self.scores.shape[1]), np.float32)])
+            self.letters = np.concatenate([self.letters, np.zeros(more, np.int32)])
+        self.letters[self.used:stop] = [len(w) for w in words]
+        if self.model.languages:
+            ids, sizes, scripts = grams(words)
+            # Grams of a word overlap, so their sum counts the same evidence about thrice.
+            own = np.add.reduceat(self.model.scores[ids], np.cumsum(sizes) - sizes) / 3
+            own += self.model.scripts[scripts]
+            own = np.maximum(own - own.max(1, keepdims=True), -self.cap)
+            own[~self.model.known[scripts]] = 0
+            self.scores[self.used:stop] = own
+        self.used = stop
 
 
 def viterbi(ids: list[np.ndarray], scores: np.ndarray, penalty: float) -> list[np.ndarray]:
@@ -178,9 +207,10 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(model, cap)
         for block in blocks(batches):
-            if len(words) > 300_000:
+            if len(words) > 300_000 or words.held > BLOCK_BYTES:
                 words.reset()
             pieces = [t.split() for t in blobs(block.column("text"))]
+            words.add(set().union(*pieces))
             ids = [np.fromiter(map(words.__getitem__, p), np.int64, len(p)) for p in pieces]
             scores, counts = words.scores, words.letters
             labels = viterbi(ids, scores, penalty) if model.languages else ids
