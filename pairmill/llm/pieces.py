@@ -13,6 +13,7 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,66 +32,102 @@ Path = tuple[float, tuple[int, ...]]
 class Pieces:
     """The vocabulary of a model file, and searches over it."""
 
-    def __init__(self, path: str, cached: int = 300_000):
+    def __init__(self, path: str, cached: int = 400_000):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.names = [sp.id_to_piece(i) for i in range(n)]
         special = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) for i in range(n)]
         self.ids = {p: i for i, p in enumerate(self.names) if not special[i]}
-        self.scores = [sp.get_score(i) for i in range(n)]
+        # Multiples of 2 ** -20, so that sums are exact in any order and equal scores stay equal.
+        self.scores = [round(sp.get_score(i) * (1 << 20)) / (1 << 20) for i in range(n)]
         if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.ids):
             raise ValueError("a piece goes on after a letter with a blank")
         self.bytes_at = self.names.index("<0x00>")
         self.longest = max(map(len, self.ids))
+        #: Every start of a piece, with the piece's id where it is one itself.
+        self.starts = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.unknown = min(self.scores) - 10
         self.cached = cached
+        self.neighbours = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.units: dict[str, tuple[bytes, float, float, int]] = {}
+        self.parts: dict[str, tuple[bytes, float, float, int]] = {}
 
     def lattice(self, unit: str) -> tuple[list[float], list[list[tuple[int, float, tuple[int, ...]]]]]:
         """Best score up to each place, and the pieces that end there. A character that no piece
         stands for alone can be spelt in bytes."""
-        best, ends = [0.0], [[]]
-        for stop in range(1, len(unit) + 1):
-            own = []
-            for start in range(max(0, stop - self.longest), stop):
-                i = self.ids.get(unit[start:stop])
-                if i is not None:
-                    own.append((start, self.scores[i], (i,)))
-            c = unit[stop - 1]
+        n, get, scores = len(unit), self.starts.get, self.scores
+        best, ends = [0.0] + [-np.inf] * n, [[] for _ in range(n + 1)]
+        for start in range(n):
+            base = best[start]
+            for stop in range(start + 1, n + 1):
+                i = get(unit[start:stop])
+                if i is None:
+                    break
+                if i >= 0:
+                    ends[stop].append((start, scores[i], (i,)))
+                    if base + scores[i] > best[stop]:
+                        best[stop] = base + scores[i]
+            c = unit[start]
             if c not in self.ids:
-                own.append((stop - 1, self.unknown, tuple(self.bytes_at + b for b in c.encode())))
-            best.append(max(best[a] + s for a, s, _ in own))
-            ends.append(own)
+                ends[start + 1].append((start, self.unknown, tuple(self.bytes_at + b for b in c.encode())))
+                best[start + 1] = max(best[start + 1], base + self.unknown)
         return best, ends
 
     def n_best(self, unit: str, n: int) -> list[Path]:
-        """The n best segmentations with their scores; of equal scores the lesser ids from the back."""
+        """The n best segmentations with their scores. Of equal scores the one that is nearer to its
+        start goes on, so ties take no more steps than pieces."""
         best, ends = self.lattice(unit)
-        agenda: list[tuple[float, tuple[int, ...], int, float]] = [(-best[-1], (), len(unit), 0.0)]
+        agenda: list[tuple[float, int, int, float]] = [(-best[-1], len(unit), 0, 0.0)]
+        trail: list[tuple[int, tuple[int, ...]]] = [(0, ())]  # the step behind each one, and its ids
         found: list[Path] = []
         while agenda and len(found) < n:
-            _, path, at, score = heapq.heappop(agenda)
+            _, at, step, score = heapq.heappop(agenda)
             if not at:
-                found.append((score, path[::-1]))
+                path: list[int] = []
+                while step:
+                    step, ids = trail[step]
+                    path += ids
+                found.append((score, tuple(path)))
                 continue
             for start, gain, ids in ends[at]:
-                heapq.heappush(agenda, (-(best[start] + score + gain), path + ids[::-1], start, score + gain))
+                heapq.heappush(agenda, (-(best[start] + score + gain), start, len(trail), score + gain))
+                trail.append((step, ids))
         return found
 
-    def _unit(self, unit: str) -> tuple[bytes, float, float, int]:
+    def _part(self, part: str) -> tuple[bytes, float, float, int]:
         """Ids and score of the best segmentation, the loss of the second, and the pieces."""
-        two = self.n_best(unit, 2)
+        two = self.n_best(part, 2)
         score, ids = two[0]
         loss = score - two[1][0] if len(two) > 1 else np.inf
         return np.array(ids, "<u4").tobytes(), score, loss, len(ids)
 
+    def _unit(self, unit: str) -> tuple[bytes, float, float, int]:
+        """As ``_part``. No piece crosses from one part of a unit to the next: the neighbours
+        there stand together in no piece. Parts come again more often than units."""
+        cuts = [0, *(i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.neighbours), len(unit)]
+        found = []
+        for start, stop in pairwise(cuts):
+            part = unit[start:stop]
+            got = self.parts.get(part)
+            if got is None:
+                got = self._part(part)
+                if len(part) <= MAX_CACHED_CHARS:
+                    self.parts[part] = got
+            found.append(got)
+        if len(found) == 1:
+            return found[0]
+        ids, scores, losses, sizes = zip(*found)
+        return b"".join(ids), sum(scores), min(losses), sum(sizes)
+
     def text(self, text: str, n: int) -> tuple[bytes, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
         """Ids of the best segmentation of a text, the scores of its n best, and how each of them differs:
         numbers of units and their ids."""
         units = UNIT.findall(BLANK + text.replace(" ", BLANK)) if text else []
         if len(self.units) > self.cached:
             self.units.clear()
+        if len(self.parts) > self.cached:
+            self.parts.clear()
         own, long = [], {}
         for u in units:
             got = self.units.get(u) or long.get(u)
@@ -108,7 +145,7 @@ class Pieces:
                 choices.append((i, [(score - ways[0][0], ids) for score, ids in ways]))
         return b"".join([x[0] for x in own]), *_combined(total, choices, n)
 
-    @lru_cache(maxsize=100_000)  # noqa: B019  (one object per worker and file)
+    @lru_cache(maxsize=2_000)  # noqa: B019  (one object per worker and file)
     def _ways(self, unit: str, n: int) -> list[Path]:
         return self.n_best(unit, n)
 
