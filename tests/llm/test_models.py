@@ -161,3 +161,23 @@ def test_segmented(awkward, empty, texts_of):
     assert all(len(r.ids) == 4 * r.n_pieces and list(r.scores) == sorted(r.scores, reverse=True) for r in rows)
     assert {r.n_pieces for r in rows if r.doc_id in (2, 3)} == {0}
     assert pieces.segmented(empty).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["▁river,", "▁a\nb", "▁Shtint$$$", "▁éreé.&&&"])
+def test_parts_of_a_unit(vocabulary, unit):
+    (score, ids), (second, _) = vocabulary.n_best(unit, 2)
+    own, total, loss, n = vocabulary._unit(unit)
+    assert (total, loss, n) == (score, score - second, len(ids)) and own == np.array(ids, "<u4").tobytes()
+
+
+def test_unit_of_one_repeated_letter(vocabulary):
+    got = vocabulary.n_best("a" * 20_001, 3)
+    assert len({p for _, p in got}) == 3 and got[0][0] >= got[1][0] >= got[2][0]
+
+
+def test_letters_and_grams():
+    assert [language.letters_of(p.encode()) for p in ("Don't!", "12%", "ÄB", "")] == ["dont", "", "äb", ""]
+    ids, sizes, scripts = language.grams(["ab", "мир", "x" * 90])
+    assert sizes.tolist() == [6, 8, 82] and len(ids) == 96 and scripts.tolist() == [1, 3, 1]
+    again = language.grams(["x" * 90, "ab"])[0]  # a word's grams don't hang on its neighbours
+    assert sorted(again[82:]) == sorted(ids[:6]) and sorted(again[:82]) == sorted(ids[14:])
