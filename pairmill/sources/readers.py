@@ -21,13 +21,28 @@ def select_pairs(df: DataFrame, query_col: str = "instruction",
     return renamed.select(*keep)
 
 
+def _named_csv(spark: SparkSession, path: str, schema: T.StructType, required: set[str]) -> DataFrame:
+    """The columns of ``schema`` by their names in the header, in whatever order; absent ones are null.
+
+    Reads a first line ahead for the names, no values. Files of one folder must have the same header.
+    """
+    df = spark.read.options(**_CSV, enforceSchema=False).csv(path)
+    if not df.columns:
+        return spark.createDataFrame([], schema)
+    missing = sorted(required - set(df.columns))
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    return df.select(*((F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType)
+                       .alias(f.name) for f in schema))
+
+
 def read_pairs(spark: SparkSession, path: str, schema: T.StructType | None = None,
                query_col: str = "instruction", response_col: str = "response") -> DataFrame:
-    """Pair corpus from CSV (with a declared schema) or Parquet."""
+    """Pair corpus from CSV (with a declared schema) or Parquet; both text columns must be there."""
     if schema is None:
         df = spark.read.parquet(path)
     else:
-        df = spark.read.schema(schema).options(**_CSV).csv(path)
+        df = _named_csv(spark, path, schema, {query_col, response_col})
     return select_pairs(df, query_col, response_col)
 
 
@@ -38,10 +53,10 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A split stored as CSV with space-joined tokens."""
+    """A split stored as CSV with space-joined tokens; category and intent may be absent."""
     fields = ("query_clean", "response_clean", "category", "intent")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
-    df = spark.read.schema(schema).options(**_CSV).csv(path).na.fill("")
+    df = _named_csv(spark, path, schema, {"query_clean", "response_clean"}).na.fill("")
     return df.select("*", text.words(F.col("query_clean")).alias("query_tokens"),
                      text.words(F.col("response_clean")).alias("response_tokens"))
 

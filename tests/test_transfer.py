@@ -24,6 +24,19 @@ def test_pair_csv(spark, tmp_path):
     assert rows[0].query is None
 
 
+def test_csv_columns_by_name(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("response,instruction\nreply text,query text\n", encoding="utf-8")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("instruction", "response", "intent")])
+    row = readers.read_pairs(spark, str(tmp_path / "p.csv"), schema).first()
+    assert (row.query, row.response, row.intent) == ("query text", "reply text", None)
+    with pytest.raises(ValueError, match="instruction"):
+        (tmp_path / "q.csv").write_text("response,other\nr,x\n", encoding="utf-8")
+        readers.read_pairs(spark, str(tmp_path / "q.csv"), schema)
+    (tmp_path / "s.csv").write_text("response_clean,query_clean\nc d,a\n", encoding="utf-8")
+    row = readers.read_split_csv(spark, str(tmp_path / "s.csv")).first()
+    assert (row.query_tokens, row.response_tokens, row.intent) == (["a"], ["c", "d"], "")
+
+
 def test_query_files(spark, tmp_path):
     lines = tmp_path / "q.txt"
     lines.write_bytes(b"  first \r\n\n\xc2\xa0\nsec\xe2\x80\xa8ond\nbad \xff byte\n")
