@@ -11,6 +11,7 @@ from pairmill.functions import scoring
 from pairmill.functions.arrays import ngram_keys
 from pairmill.functions.basics import compute_once
 from pairmill.functions.text import prefix, trim_space, word_count, words
+from pairmill.sources.staging import stage
 
 
 def align(hypotheses: DataFrame, references: DataFrame,
@@ -125,7 +126,7 @@ def report(df: DataFrame, scores: DataFrame | None = None, by: str = "strategy",
            with_rouge_l: bool = True) -> DataFrame:
     """All metrics per strategy as (strategy, metric, value)."""
     if scores is None:
-        scores = row_scores(df)
+        scores = stage(row_scores(df), "row-scores")  # four of the parts start from them
     tokens = df.select(by, words(F.col("hyp")).alias("tokens"))
     parts = [corpus_bleu(scores, [by]), mean_sentence_bleu(scores, [by]),
              corpus_chrf(scores, [by]), mean_rouge_n(scores, [by]),

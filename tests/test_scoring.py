@@ -90,6 +90,7 @@ def test_identity_scores(spark):
     text = "We will refund the order within five days, promise."
     df, scores = score_frame(spark, [(text, text)])
     report = {r.metric: r.value for r in metrics.report(df, scores).collect()}
+    assert report == {r.metric: r.value for r in metrics.report(df).collect()}
     for name in ("bleu", "sentence_bleu", "chrf", "p4"):
         assert report[name] == pytest.approx(100)
     for name in ("rouge1", "rouge2", "rougeL", "distinct_1"):
