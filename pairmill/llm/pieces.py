@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -45,6 +46,8 @@ class Pieces:
             raise ValueError("a piece goes on after a letter with a blank")
         self.bytes_at = self.names.index("<0x00>")
         self.longest = max(map(len, self.ids))
+        self.spelt = [bytes([i - self.bytes_at]) if 0 <= i - self.bytes_at < 256 else p.encode()
+                      for i, p in enumerate(self.names)]
         #: Every start of a piece, with the piece's id where it is one itself.
         self.starts = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.unknown = min(self.scores) - 10
@@ -96,16 +99,47 @@ class Pieces:
         return found
 
     def _part(self, part: str) -> tuple[bytes, float, float, int]:
-        """Ids and score of the best segmentation, the loss of the second, and the pieces."""
-        two = self.n_best(part, 2)
-        score, ids = two[0]
-        loss = score - two[1][0] if len(two) > 1 else np.inf
-        return np.array(ids, "<u4").tobytes(), score, loss, len(ids)
+        """Ids and score of the best segmentation, the loss of the second, and the pieces.
+
+        Forward scores are exact, so the backward search leaves the best path for the second at the
+        place of it where the best two ways in lie closest; the search itself is not needed for
+        that. Of equal scores the longest piece counts, as in ``n_best``."""
+        n, get, scores, ids = len(part), self.starts.get, self.scores, self.ids
+        best, second = [0.0] + [-np.inf] * n, [-np.inf] * (n + 1)
+        back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (n + 1)
+        for start in range(n):
+            base = best[start]
+            for stop in range(start + 1, n + 1):
+                i = get(part[start:stop])
+                if i is None:
+                    break
+                if i >= 0:
+                    score = base + scores[i]
+                    if score > best[stop]:
+                        second[stop], best[stop], back[stop] = best[stop], score, (start, (i,))
+                    elif score > second[stop]:
+                        second[stop] = score
+            c = part[start]
+            if c not in ids:
+                score, stop = base + self.unknown, start + 1
+                if score > best[stop]:
+                    second[stop], best[stop] = best[stop], score
+                    back[stop] = start, tuple(self.bytes_at + b for b in c.encode())
+                elif score > second[stop]:
+                    second[stop] = score
+        loss, at, path = np.inf, n, []
+        while at:
+            loss = min(loss, best[at] - second[at])
+            at, step = back[at]
+            path.append(step)
+        found = [i for step in reversed(path) for i in step]
+        return struct.pack(f"<{len(found)}I", *found), best[n], loss, len(found)
 
     def _unit(self, unit: str) -> tuple[bytes, float, float, int]:
         """As ``_part``. No piece crosses from one part of a unit to the next: the neighbours
         there stand together in no piece. Parts come again more often than units."""
-        cuts = [0, *(i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in self.neighbours), len(unit)]
+        whole = self.neighbours
+        cuts = [0, *[i for i in range(1, len(unit)) if unit[i - 1:i + 1] not in whole], len(unit)]
         found = []
         for start, stop in pairwise(cuts):
             part = unit[start:stop]
@@ -128,22 +162,25 @@ class Pieces:
             self.units.clear()
         if len(self.parts) > self.cached:
             self.parts.clear()
-        own, long = [], {}
-        for u in units:
-            got = self.units.get(u) or long.get(u)
+        own = list(map(self.units.get, units))
+        long: dict[str, tuple[bytes, float, float, int]] = {}
+        for k, got in enumerate(own):
             if got is None:
-                got = self._unit(u)
-                (self.units if len(u) <= MAX_CACHED_CHARS else long)[u] = got
-            own.append(got)
-        total = float(sum(x[1] for x in own))
-        losses = np.array([x[2] for x in own])
+                u = units[k]
+                got = self.units.get(u) or long.get(u)
+                if got is None:
+                    got = self._unit(u)
+                    (self.units if len(u) <= MAX_CACHED_CHARS else long)[u] = got
+                own[k] = got
+        ids, scores, loss, _ = zip(*own) if own else ((), (), (), ())
+        total, losses = float(sum(scores)), np.array(loss)
         near = np.argsort(losses, kind="stable")[:n - 1]
         choices = []
         for i in sorted(near.tolist()):
             if losses[i] < np.inf:
                 ways = self._ways(units[i], n)
                 choices.append((i, [(score - ways[0][0], ids) for score, ids in ways]))
-        return b"".join([x[0] for x in own]), *_combined(total, choices, n)
+        return b"".join(ids), *_combined(total, choices, n)
 
     @lru_cache(maxsize=2_000)  # noqa: B019  (one object per worker and file)
     def _ways(self, unit: str, n: int) -> list[Path]:
@@ -151,8 +188,7 @@ class Pieces:
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: bytes join to characters, blanks become spaces, the first is dropped."""
-        out = b"".join(bytes([i - self.bytes_at]) if 0 <= i - self.bytes_at < 256 else
-                       self.names[i].encode() for i in ids)
+        out = b"".join(map(self.spelt.__getitem__, ids))
         return out.decode(errors="replace").replace(BLANK, " ")[1:]
 
 
