@@ -115,10 +115,13 @@ select query, round_even(case when len(cw) > 0 then len(list_filter(cw, lambda w
 def out_of_domain_report(spark, sf):
     """The six fixed foreign queries next to the benchmark texts."""
     lexicon = stage(gate.scope_lexicon(train_lines(spark, sf)), "lexicon")
-    fixed_rows = spark.createDataFrame([(t,) for t in fixed.OUT_OF_DOMAIN], "query string")
-    rows = fixed_rows.union(table(spark, sf, "benchmark").select("text"))
+    fixed_rows = spark.createDataFrame(
+        [("fixed", str(i), t) for i, t in enumerate(fixed.OUT_OF_DOMAIN)],
+        "origin string, item string, query string")
+    rows = fixed_rows.union(table(spark, sf, "benchmark").select(
+        F.lit("benchmark"), F.col("item_id").cast("string"), "text"))
     rows = compute_once(rows, query_tokens=text.prepare_query(F.col("query")))
-    out = gate.scope_gate(rows.withColumn("logprob", F.lit(0.0)), lexicon, key="query")
+    out = gate.scope_gate(rows.withColumn("logprob", F.lit(0.0)), lexicon, key=["origin", "item"])
     return out.select("query", "oov_ratio")
 
 

@@ -48,12 +48,11 @@ def live_gate(spark, sf):
     if small is not None:
         out = drained(live.live_gate(asked, small), "live")
     else:
-        asked = asked.withColumn("row_id", F.xxhash64("conv_id", "turn"))
         path = stage_path(spark, "live")
 
         def write(batch, batch_id):
             batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        (asked.writeStream.foreachBatch(live.live_gate_batches(lexicon, write))
+        (asked.writeStream.foreachBatch(live.live_gate_batches(lexicon, write, ["conv_id", "turn"]))
          .option("checkpointLocation", path + "-progress")
          .trigger(availableNow=True).start().awaitTermination())
         out = spark.read.parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,9 +78,10 @@ def _ratio(unknown: Column, content: Column, tokens: Column) -> Column:
 
 
 def scope_signals(df: DataFrame, lexicon: DataFrame | SmallLexicon,
-                  tokens_col: str = "query_tokens", key: str = "row_id",
+                  tokens_col: str = "query_tokens", key: str | Sequence[str] = "row_id",
                   settings: Settings = Settings(), always_join: bool = False) -> DataFrame:
-    """Add ``unknown`` (in order, repeats kept), ``oov`` and ``n_anchors``.
+    """Add ``unknown`` (in order, repeats kept), ``oov`` and ``n_anchors``. ``key`` is a column, or
+    columns, that tell the rows apart.
 
     A small lexicon becomes a hash set inside the plan: no shuffle at all. A
     large one is joined to the exploded content words.
@@ -96,14 +98,15 @@ def scope_signals(df: DataFrame, lexicon: DataFrame | SmallLexicon,
                                           F.col(tokens_col)))
                 .withColumn("n_anchors", F.size(anchors)).drop("_content"))
 
-    exploded = df.select(key, F.posexplode(content).alias("pos", "token"))
+    keys = [key] if isinstance(key, str) else list(key)
+    exploded = df.select(*keys, F.posexplode(content).alias("pos", "token"))
     found = lookup(exploded, lexicon.select("token", "known", "anchor_rank"), "token", settings)
     missing = F.when(~F.coalesce("known", F.lit(False)), F.struct("pos", "token"))
-    per_row = found.groupBy(key).agg(
+    per_row = found.groupBy(*keys).agg(
         F.array_sort(F.collect_list(missing)).alias("_u"), F.count("*").alias("_words"),
         F.count_if(F.col("anchor_rank").isNotNull()).cast("int").alias("_anchors"))
     unknown = F.coalesce(F.col("_u.token"), empty_strings())
-    return (df.join(per_row, key, "left").withColumn("unknown", unknown)
+    return (df.join(per_row, keys, "left").withColumn("unknown", unknown)
             .withColumn("oov", _ratio(F.size("unknown"), F.coalesce("_words", F.lit(0)),
                                       F.col(tokens_col)))
             .withColumn("n_anchors", F.coalesce("_anchors", F.lit(0)))
@@ -149,7 +152,7 @@ def verdict(df: DataFrame, logprob: str = "logprob", tokens_col: str = "query_to
 
 
 def scope_gate(df: DataFrame, lexicon: DataFrame | SmallLexicon, logprob: str = "logprob",
-               tokens_col: str = "query_tokens", key: str = "row_id",
+               tokens_col: str = "query_tokens", key: str | Sequence[str] = "row_id",
                settings: Settings = Settings()) -> DataFrame:
     return verdict(scope_signals(df, lexicon, tokens_col, key, settings),
                    logprob, tokens_col, settings)

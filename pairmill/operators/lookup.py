@@ -9,18 +9,25 @@ from pairmill.settings import Settings
 from pairmill.sources.staging import stage
 
 
-def fits(dictionary: DataFrame, key: str, rows: int, nbytes: int) -> bool:
-    """Whether a (staged) dictionary is small enough, by rows and key bytes."""
-    size = dictionary.agg(F.count("*").alias("rows"),
-                          F.sum(F.octet_length(F.col(key).cast("string"))).alias("bytes")).first()
+def _row_bytes(df: DataFrame) -> Column:
+    return sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+
+
+def fits(dictionary: DataFrame, rows: int, nbytes: int) -> bool:
+    """Whether a (staged) dictionary is small enough, by rows and the bytes of all its columns."""
+    size = dictionary.agg(F.count("*").alias("rows"), F.sum(_row_bytes(dictionary)).alias("bytes")).first()
     return size["rows"] <= rows and (size["bytes"] or 0) <= nbytes
 
 
+#: An entry beyond this stays out of the broadcast of hot keys, so that their number bounds its size.
+HOT_ROW_BYTES = 16 << 10
+
+
 def hot_keys(df: DataFrame, key: str, settings: Settings = Settings()) -> DataFrame:
     """The most frequent keys of ``df``: at most ``hot_keys`` rows."""
     return (df.groupBy(key).agg(F.count("*").alias("_rows"))
             .where((F.col("_rows") >= settings.hot_min_rows)
-                   & (F.octet_length(F.col(key).cast("string")) <= 1024))
+                   & (F.octet_length(F.col(key).cast("string")) <= HOT_ROW_BYTES))
             .orderBy(F.desc("_rows"), F.asc(key)).limit(settings.hot_keys).select(key))
 
 
@@ -34,13 +41,13 @@ def lookup(df: DataFrame, dictionary: DataFrame, key: str, settings: Settings =
     join. ``spread_keys`` says that ``df`` repeats no key often, for instance
     after an aggregation by it, and skips the hot part.
     """
-    if fits(dictionary, key, settings.broadcast_rows, settings.broadcast_bytes):
+    if fits(dictionary, settings.broadcast_rows, settings.broadcast_bytes):
         return df.join(F.broadcast(dictionary), key, "left")
     if spread_keys:
         return df.join(dictionary, key, "left")
     values = [c for c in dictionary.columns if c != key]
-    hot = stage(hot_keys(df, key, settings).join(dictionary, key, "left")
-                .withColumn("_hot", F.lit(True)), "hot")
+    hot = hot_keys(df, key, settings).join(dictionary, key, "left")
+    hot = stage(hot.where(_row_bytes(hot) <= HOT_ROW_BYTES).withColumn("_hot", F.lit(True)), "hot")
     first = df.join(F.broadcast(hot), key, "left")
     done = first.where(F.col("_hot")).drop("_hot")
     rest = first.where(F.col("_hot").isNull()).drop("_hot", *values)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairmill.functions import text
 from pairmill.functions.basics import compute_once
-from pairmill.operators.gate import SmallLexicon, scope_signals
+from pairmill.operators.gate import SmallLexicon, scope_signals, small_lexicon
 from pairmill.settings import Settings
 
 
@@ -28,12 +28,15 @@ def live_gate(stream: DataFrame, lexicon: SmallLexicon,
 
 
 def live_gate_batches(lexicon: DataFrame, write: Callable[[DataFrame, int], None],
-                      key: str = "row_id", slot_map: dict[str, str] | None = None,
+                      key: str | Sequence[str] = "row_id", slot_map: dict[str, str] | None = None,
                       settings: Settings = Settings()):
-    """``foreachBatch`` function for lexicons that need the join path."""
+    """``foreachBatch`` function for lexicons of any size; the way is chosen once, not per batch."""
+    small = small_lexicon(lexicon)
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         asked = compute_once(batch, query_tokens=text.prepare_query(F.col("query"), slot_map))
-        signals = scope_signals(asked, lexicon, key=key, settings=settings)
+        signals = scope_signals(asked, small or lexicon, key=key, settings=settings,
+                                always_join=small is None)
         write(signals.withColumn("in_scope", (F.size("query_tokens") > 0)
                                  & (F.col("oov") <= settings.max_oov)), batch_id)
     return handle

@@ -52,6 +52,15 @@ def test_verdicts(asked, lexicon, join):
     assert rows[7].reason == gate.EMPTY_REASON and rows[7].avg_logprob == 0.0
 
 
+@pytest.mark.parametrize("join", [False, True])
+def test_equal_queries_under_keys_of_two_columns(spark, lexicon, join):
+    rows = [("a", 1, ["zzzz", "status"]), ("a", 2, ["zzzz", "status"]), ("b", 1, ["zzzz", "status"])]
+    df = spark.createDataFrame(rows, "conv_id string, turn int, query_tokens array<string>")
+    out = gate.scope_signals(df, lexicon, key=["conv_id", "turn"], always_join=join).collect()
+    assert len(out) == 3
+    assert {(tuple(r.unknown), r.n_anchors) for r in out} == {(("zzzz", "status"), 1)}
+
+
 def test_percent_rounds_half_to_even(spark):
     df = spark.createDataFrame([(0.625,), (0.875,)], "o double")
     out = df.select(gate.reason_text(F.col("o"), F.lit(0.0), F.lit(0),

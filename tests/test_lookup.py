@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from pairmill.operators.lookup import lookup, ranked
+from pairmill.operators.lookup import fits, lookup, ranked
 from pairmill.operators.vocab import build_vocab, decode, encode, oov_ratio
 from pairmill.settings import Settings
 from pairmill.sources.staging import stage
@@ -43,6 +43,19 @@ def test_hot_rows_are_not_shuffled_by_key(skewed, dictionary):
     assert "strategy=broadcast" in plan
 
 
+def test_payload_counts_for_the_broadcast(spark):
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(5)], "id int, token string")
+    assert not fits(wide, 100, 4000) and fits(wide, 100, 6000) and not fits(wide, 4, 6000)
+
+
+@pytest.mark.parametrize("length", [1_000, 20_000])
+def test_wide_hot_entries_give_the_same_rows(spark, length):
+    rows = spark.range(60).select("id", F.lit("k").alias("token"))
+    wide = spark.createDataFrame([("k", "x" * length), ("other", "y")], "token string, payload string")
+    got = lookup(rows, wide, "token", HOT)
+    assert got.where(F.length("payload") == length).count() == got.count() == 60
+
+
 def test_ranked_is_global(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v")).repartition(7)
     out = ranked(df, [F.desc("v")], "r", 1)

@@ -1,5 +1,7 @@
 """Readers, writers and streams."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -145,22 +147,26 @@ def test_cleaning_keeps_typed_tokens(spark):
     assert once.first().c == once.select(clean_text(F.col("c"))).first()[0] == df.first().c
 
 
-def test_shared_folder(spark):
-    class Conf:
-        def __init__(self, folder):
-            self.folder = folder
-
-        def get(self, key, default):
-            return self.folder
-
-    class Session:
-        sparkContext = spark.sparkContext
-
-        def __init__(self, folder):
-            self.conf = Conf(folder)
-    assert staging.shared_dir(Session("s3://shared/x/")) == "s3://shared/x"
-    own = staging.shared_dir(Session(None))
-    assert own == staging.shared_dir(Session(None)) and "pairmill-" in own
+@pytest.mark.parametrize("conf, checkpoint_dir, master, want", [
+    ("file:///shared/x/", "file:///other", "spark://m:7077", "file:///shared/x"),
+    (None, "file:///other/", "spark://m:7077", "file:///other"),
+    (None, None, "spark://m:7077", ValueError),
+    (None, None, "local-cluster[2,1,1024]", ValueError),
+    (None, None, "local[4]", "own")])
+def test_shared_folder(conf, checkpoint_dir, master, want):
+    """The setting counts first, then the context's folder; only one machine falls back to its own."""
+    context = SimpleNamespace(master=master, applicationId=f"app-{master}",
+                              getCheckpointDir=lambda: checkpoint_dir)
+    session = SimpleNamespace(sparkContext=context,
+                              conf=SimpleNamespace(get=lambda key, default: conf or default))
+    if want is ValueError:
+        with pytest.raises(ValueError):
+            staging.shared_dir(session)
+    elif want == "own":
+        own = staging.shared_dir(session)
+        assert own == staging.shared_dir(session) and "pairmill-" in own
+    else:
+        assert staging.shared_dir(session) == want
 
 
 def test_spread(spark):
