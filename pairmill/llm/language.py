@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -15,6 +16,8 @@ from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
 
 GRAM_BITS = 14
 STEP_PIECES = 20_000
+#: Letters that are scored together; what is longer gives several chunks.
+CHUNK = 40
 #: First code points of ranges, and the script of each (0: none in particular).
 SCRIPTS = ((0, 1), (0x370, 2), (0x400, 3), (0x530, 4), (0x590, 5), (0x600, 6), (0x780, 0), (0x900, 7),
            (0x980, 8), (0xA00, 0), (0xE00, 9), (0xE80, 0), (0x10A0, 10), (0x1100, 11), (0x1200, 0),
@@ -35,18 +38,36 @@ def letters_of(piece: bytes) -> str:
     return word if word.isalpha() else "".join([c for c in word if c.isalpha()])
 
 
+def _runs() -> re.Pattern[str]:
+    """Up to ``CHUNK`` letters of one script. Modifier letters go with those before them."""
+    own: dict[int, str] = {}
+    for (start, script), stop in zip(SCRIPTS, [s[0] for s in SCRIPTS[1:]] + [0x110000], strict=True):
+        own[script] = own.get(script, "\\u02b0-\\u02ff") + f"\\U{start:08x}-\\U{stop - 1:08x}"
+    return re.compile("|".join(f"[{ranges}]{{1,{CHUNK}}}" for ranges in own.values()))
+
+
+_RUNS = _runs()
+
+
+def chunks(word: str) -> list[str]:
+    """A word's letters, cut where the script changes and after ``CHUNK`` letters of one script."""
+    if len(word) <= CHUNK and word.isascii():
+        return [word] if word else []
+    return _RUNS.findall(word)
+
+
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Numbers of the words' pairs and triples of letters, edges marked, and of the words themselves;
-    how many of them each word has; and each word's script."""
-    points = np.frombuffer("".join([f"^{w[:40]}$" for w in words]).encode("utf-32-le"), np.uint32)
+    how many of them each word has; and each word's script. Words are what ``chunks`` gives."""
+    points = np.frombuffer("".join([f"^{w[:CHUNK]}$" for w in words]).encode("utf-32-le"), np.uint32)
     points = np.append(points, np.uint32([0, 0])).astype(np.uint64)
-    sizes = np.fromiter((min(len(w), 40) + 2 for w in words), np.int64, len(words))
+    sizes = np.fromiter((min(len(w), CHUNK) + 2 for w in words), np.int64, len(words))
     starts = np.cumsum(sizes) - sizes
     at = np.arange(len(points) - 2)
     place = at - np.repeat(starts, sizes)
     left = np.repeat(sizes, sizes) - place  # letters from here to the end, edge included
     pairs = points[:-2] * _STEP + points[1:-1]
-    powers = np.cumprod(np.full(42, _STEP, np.uint64), dtype=np.uint64)
+    powers = np.cumprod(np.full(CHUNK + 2, _STEP, np.uint64), dtype=np.uint64)
     whole = np.add.reduceat(points[:-2] * powers[place], starts)
     # A word's grams stand together: at each place the pair, the triple, and at the edge the word.
     table = np.stack([pairs, (pairs * _STEP + points[2:]) ^ _TRIPLE, np.zeros_like(pairs)], 1)
@@ -84,7 +105,7 @@ def learned(rows: DataFrame, max_rows: int = 20_000) -> Model:
             for lang, text in zip(block.column("lang").to_pylist(), blobs(block.column("text")), strict=True):
                 pieces.setdefault(lang, Counter()).update(text.split())
             for lang, seen in pieces.items():
-                found = [(w, n) for p, n in seen.items() if (w := letters_of(p))]
+                found = [(w, n) for p, n in seen.items() for w in chunks(letters_of(p))]
                 if not found:
                     continue
                 times = np.array([n for _, n in found])
@@ -110,7 +131,8 @@ def learned(rows: DataFrame, max_rows: int = 20_000) -> Model:
 
 
 class Words(dict):
-    """Piece to row of ``scores`` and ``letters``; row 0 is for pieces without letters."""
+    """Piece to row of ``scores`` and ``letters``; row 0 is for pieces without letters. A piece of
+    several chunks has ``~k`` instead, and their rows in ``several[k]``."""
 
     def __init__(self, model: Model, cap: float):
         super().__init__()
@@ -120,6 +142,7 @@ class Words(dict):
     def reset(self) -> None:
         self.clear()
         self.used, self.held = 1, 0
+        self.several: list[np.ndarray] = []
         self.scores = np.zeros((1 << 14, len(self.model.languages)), np.float32)
         self.letters = np.zeros(1 << 14, np.int32)
 
@@ -129,12 +152,32 @@ class Words(dict):
         self.held += sum(map(len, new))
         for start in range(0, len(new), STEP_PIECES):
             part = new[start:start + STEP_PIECES]
-            words = [letters_of(p) for p in part]
-            found = [w for w in words if w]
-            numbers = iter(range(self.used, self.used + len(found)))
-            self.update((p, next(numbers) if w else 0) for p, w in zip(part, words, strict=True))
-            if found:
-                self._score(found)
+            found: list[str] = []
+            for p in part:
+                own = chunks(letters_of(p))
+                row = self.used + len(found)
+                if len(own) > 1:
+                    self[p] = ~len(self.several)
+                    self.several.append(np.arange(row, row + len(own)))
+                else:
+                    self[p] = row if own else 0
+                found += own
+            for at in range(0, len(found), STEP_PIECES):
+                self._score(found[at:at + STEP_PIECES])
+
+    def steps(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of a text's chunks, and the number of the piece that each is of."""
+        rows = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+        cut = np.flatnonzero(rows < 0)
+        if not len(cut):
+            return rows, np.arange(len(rows))
+        parts = [self.several[~k] for k in rows[cut].tolist()]
+        sizes = np.ones(len(rows), np.int64)
+        sizes[cut] = list(map(len, parts))
+        piece = np.repeat(np.arange(len(rows)), sizes)
+        own = rows[piece]
+        own[own < 0] = np.concatenate(parts)
+        return own, piece
 
     def _score(self, words: list[str]) -> None:
         stop = self.used + len(words)
@@ -198,7 +241,10 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
     ``lang_pred`` is the language of most letters, ``score`` its share of them; a tie goes to the first
     name. A text that is null or has no letter is ``und`` with score 0. Letters of scripts that no
     training text has say nothing: a text of such alone gets the most frequent language with score 0.
-    ``spans`` gives language, first word and number of words. ``docs`` needs ``doc_id`` and
+    ``spans`` gives language, first word and number of words; words are what stands between white space.
+    Scripts without spaces, and any run of letters, are labelled by chunks of at most ``CHUNK`` letters of one
+    script, so a span can start within a word: ``skip`` letters of its first word are of spans before, and
+    ``letters`` are its own. A word that spans share counts in each. ``docs`` needs ``doc_id`` and
     ``text``, ``training`` ``text`` and ``lang``; no other column is read. Equal texts are labelled alike;
     an empty table gives no rows; without training rows every text is ``und``.
     """
@@ -207,15 +253,16 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(model, cap)
         for block in blocks(batches):
-            if len(words) > 300_000 or words.held > BLOCK_BYTES:
+            if max(len(words), words.used) > 300_000 or words.held > BLOCK_BYTES:
                 words.reset()
             pieces = [t.split() for t in blobs(block.column("text"))]
             words.add(set().union(*pieces))
-            ids = [np.fromiter(map(words.__getitem__, p), np.int64, len(p)) for p in pieces]
+            steps = [words.steps(p) for p in pieces]
+            ids = [rows for rows, _ in steps]
             scores, counts = words.scores, words.letters
             labels = viterbi(ids, scores, penalty) if model.languages else ids
             out = []
-            for own, seen in zip(labels, ids, strict=True):
+            for own, (seen, piece) in zip(labels, steps, strict=True):
                 letters = counts[seen]
                 if not model.languages or not letters.sum():
                     out.append(("und", 0.0, []))
@@ -224,15 +271,20 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
                 told = bool(scores[seen].any())
                 top = int(share.argmax()) if told else model.common
                 first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                sizes = np.diff(np.append(first, len(own)))
+                last = np.append(first[1:], len(own)) - 1
+                before = np.cumsum(letters, dtype=np.int64) - letters
+                skip = before[first] - before[np.searchsorted(piece, piece[first])]
+                spans = zip(own[first].tolist(), piece[first].tolist(), (piece[last] - piece[first] + 1).tolist(),
+                            skip.tolist(), np.add.reduceat(letters, first).tolist(), strict=True)
                 out.append((model.languages[top], float(share[top]) if told else 0.0,
-                            [{"lang": model.languages[own[a]], "first": int(a), "n": int(n)}
-                             for a, n in zip(first, sizes, strict=True)]))
+                            [{"lang": model.languages[k], "first": a, "n": n, "skip": x, "letters": m}
+                             for k, a, n, x, m in spans]))
             kinds = (pa.string(), pa.float64(),
-                     pa.list_(pa.struct([("lang", pa.string()), ("first", pa.int64()), ("n", pa.int64())])))
+                     pa.list_(pa.struct([("lang", pa.string()), *((c, pa.int64()) for c in
+                                                                 ("first", "n", "skip", "letters"))])))
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
                 ["doc_id", "lang_pred", "score", "spans"])
 
     return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, "
-                                       "spans array<struct<lang:string, first:long, n:long>>")
+                                       "spans array<struct<lang:string, first:long, n:long, skip:long, letters:long>>")

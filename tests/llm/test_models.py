@@ -181,3 +181,28 @@ def test_letters_and_grams():
     assert sizes.tolist() == [6, 8, 82] and len(ids) == 96 and scripts.tolist() == [1, 3, 1]
     again = language.grams(["x" * 90, "ab"])[0]  # a word's grams don't hang on its neighbours
     assert sorted(again[82:]) == sorted(ids[:6]) and sorted(again[:82]) == sorted(ids[14:])
+
+
+def test_chunks():
+    word = "x" * 90 + "мир" + "ab" + "об\u02bcєкт" + "日本" + "ア" * 41
+    assert language.chunks(word) == ["x" * 40, "x" * 40, "x" * 10, "мир", "ab", "об\u02bcєкт", "日本", "ア" * 40, "ア"]
+    assert language.chunks("") == [] and language.chunks("été") == ["été"]
+
+
+def test_language_of_unspaced_text(spark):
+    """Each letter of a long run counts, for the label and in training; a change within it is a span."""
+    r = random.Random(5)
+
+    def run(letters, n):
+        return "".join(r.choice(letters) for _ in range(n))
+
+    training = spark.createDataFrame([(run("abcdef", 400), "aa") for _ in range(8)]
+                                     + [("z" * 40 + run("ghijkl", 400), "gg") for _ in range(8)]
+                                     + [(run("日本語中文字", 400), "zh") for _ in range(8)], "text string, lang string")
+    asked = spark.createDataFrame([(1, "abc " + run("abcdef", 80) + run("ghijkl", 4920)), (2, run("ghijkl", 400)),
+                                   (3, run("abcdef", 120) + run("日本語中文字", 400) + " 日本")], "doc_id long, text string")
+    rows = {x.doc_id: x for x in language.identified(asked, training).collect()}
+    assert [tuple(s) for s in rows[1].spans] == [("aa", 0, 2, 0, 83), ("gg", 1, 1, 80, 4920)]
+    assert (rows[1].lang_pred, rows[1].score) == ("gg", 4920 / 5003)
+    assert [tuple(s) for s in rows[2].spans] == [("gg", 0, 1, 0, 400)]
+    assert [tuple(s) for s in rows[3].spans] == [("aa", 0, 1, 0, 120), ("zh", 0, 2, 120, 402)]
