@@ -9,15 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.llm import language, lines, packing, repeats, simhash
+from pairmill.llm.common import numbered, texts
 from pairmill.llm.queries import language_training
 from pairmill.sources.staging import stage
 
 
+def by_row(rows: DataFrame) -> DataFrame:
+    """Texts under the number of their row: ids can repeat or be null, and each row is judged alone."""
+    return rows.select(F.col("_row").alias("doc_id"), "text")
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and those of which no language has half the letters."""
-    found = language.identified(docs, language_training(docs)).where(
-        "lang_pred <> 'und' and score >= 0.5").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_semi")
+    rows = numbered(docs, "_row")
+    found = language.identified(by_row(rows), language_training(docs)).where(
+        "lang_pred <> 'und' and score >= 0.5").select(F.col("doc_id").alias("_row"))
+    return rows.join(found, "_row", "left_semi").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,18 +33,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each SimHash component the document with the smallest id."""
-    gone = simhash.near_duplicates(docs).where("doc_id <> component_id or doc_id is null and "
-                                               "component_id is not null")
-    gone = gone.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    """Keeps of each SimHash component the document with the smallest id, a null id first; of several
+    rows with that id the first."""
+    rows = numbered(docs, "_row")
+    gone = simhash.near_duplicates(by_row(rows)).where("doc_id <> component_id")
+    return rows.join(gone.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*docs.columns)
 
 
 def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes bytes of 100-byte strings that start earlier, and documents left without a word."""
-    found = repeats.without_repeats(docs).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), repeats.kept_text("kept").alias("_kept")).dropDuplicates(["_id"])
-    met = docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left")
+    rows = numbered(docs, "_row")
+    found = repeats.without_repeats_by_row(texts(rows, F.col("_row").alias("key"))).where(
+        "n_removed > 0").select(F.col("key").alias("_row"), repeats.kept_text("kept").alias("_kept"))
+    met = rows.join(found, "_row", "left")
     text = F.coalesce("_kept", "text")
     return (met.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars"))
                            .otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType))

@@ -6,10 +6,10 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.sources.staging import spread
+from pairmill.sources.staging import spread, stage
 
 BLOCK_BYTES = 8 << 20
 
@@ -18,9 +18,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def texts(docs: DataFrame) -> DataFrame:
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number of its own for each row in ``name``, by ``doc_id`` (null first) and then by
+    place. Where every row has an id of its own, that is the id; other tables are written in order once,
+    so that the numbers hold for all readers. Rows of one id are dealt to several tasks.
+    """
+    key, at = F.col("doc_id").cast("long"), f"{name}_at"
+    if docs.groupBy(key.alias("id")).agg(F.count("*").alias("n")).where("n > 1 or id is null").isEmpty():
+        return docs.withColumn(name, key)
+    placed = docs.withColumn(name, key).withColumn(at, F.monotonically_increasing_id())
+    ranged = placed.repartitionByRange(name, at).sortWithinPartitions(name, at)
+    return stage(ranged.withColumn(name, F.monotonically_increasing_id()).drop(at), "numbered")
+
+
+def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` and whole ``text`` (null: empty), in at least one task per core."""
-    return spread(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    return spread(docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"),
                               F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, texts
+from pairmill.llm.common import blobs, blocks, numbered, texts
 from pairmill.llm.skew import attach, components
 from pairmill.sources.staging import stage
 
@@ -139,20 +139,22 @@ def line_id(data: bytes) -> int:
 def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
         keys: list[int] = []
+        docs: list[int] = []
         numbers: list[int] = []
         ids: list[int] = []
-        for key, text in zip(block.column("doc_id").to_pylist(), blobs(block.column("text")),
-                             strict=True):
+        for key, doc, text in zip(block.column("key").to_pylist(), block.column("doc_id").to_pylist(),
+                                  blobs(block.column("text")), strict=True):
             for i, line in enumerate(text.split(b"\n")):
                 if line.split():
                     keys.append(key)
+                    docs.append(doc)
                     numbers.append(i)
                     ids.append(line_id(line))
         for at in range(0, len(keys), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[at:at + 100_000], pa.int64()), pa.array(numbers[at:at + 100_000], pa.int64()),
+                [*(pa.array(x[at:at + 100_000], pa.int64()) for x in (keys, docs, numbers)),
                  pa.array(np.array(ids[at:at + 100_000], np.uint64).view(np.int64))],
-                ["doc_id", "line_no", "line"])
+                ["key", "doc_id", "line_no", "line"])
 
 
 def _groups(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[list]:
@@ -258,7 +260,7 @@ def _bags(lines: list[str]) -> np.ndarray:
 def close_lines(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> DataFrame:
     """Links ``a``, ``b`` between distinct lines; what is reachable by close lines stays reachable.
 
-    ``firsts`` has the first place (``doc_id``, ``line_no``) of each ``line``.
+    ``docs`` has ``key`` and ``text``, ``firsts`` the first place (``key``, ``line_no``) of each ``line``.
     """
     keys = docs.mapInArrow(_keys(distance, least), "key long, line long")
     hits = stage(keys.repartition("key").sortWithinPartitions("key", "line")
@@ -266,8 +268,8 @@ def close_lines(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -
     hits = hits.select("key", F.expr("line & 1").cast("int").alias("role"),
                        F.expr("line & -2").alias("line"))
     places = (firsts.join(hits.select("line").distinct(), "line", "left_semi")
-              .groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line")).alias("places")))
-    known = stage(docs.join(places, docs.doc_id.eqNullSafe(places.doc_id), "left")
+              .groupBy("key").agg(F.collect_list(F.struct("line_no", "line")).alias("places")))
+    known = stage(docs.join(places, "key", "left")
                   .select("text", "places").mapInArrow(_read, "line long, content string")
                   .dropDuplicates(["line"]), "lines")
     large = stage(hits.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * GROUP_ROWS)
@@ -295,38 +297,45 @@ def line_classes(docs: DataFrame, distance: int = 2, least: int = LEAST_CHARS) -
     steps of at most ``distance`` edits between lines of ``least`` characters or more.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are not read. Null and empty texts and
-    blank lines give no row; a null id comes before all others. Rows that repeat an id are one
-    document: a line that each of them has at one number stays in each. An empty table gives no
-    rows. Lines are told apart by 63 bits of their hash.
+    blank lines give no row; a null id comes before all others. Rows that repeat an id, or have none,
+    are documents of their own, in the order of the table. An empty table gives no rows. Lines are
+    told apart by 63 bits of their hash.
     """
-    docs = texts(docs)
-    rows = stage(docs.mapInArrow(_lines, "doc_id long, line_no long, line long"), "places")
-    first = F.min(F.struct("doc_id", "line_no")).alias("first")
+    rows = texts(numbered(docs.select("doc_id", "text"), "key"), F.col("key"))
+    return line_classes_by_row(rows, distance, least).drop("key")
+
+
+def line_classes_by_row(docs: DataFrame, distance: int, least: int) -> DataFrame:
+    """``line_classes`` of ``key`` (a number of each row, not null), ``doc_id`` and ``text``; gives the
+    ``key`` too, by which it judges what is earliest."""
+    rows = stage(docs.mapInArrow(_lines, "key long, doc_id long, line_no long, line long"), "places")
+    first = F.min(F.struct("key", "line_no", "doc_id")).alias("first")
     firsts = stage(rows.groupBy("line").agg(first, F.count("*").alias("n"))
-                   .select("line", "first.doc_id", "first.line_no", "n"), "firsts")
+                   .select("line", "first.key", "first.line_no", "first.doc_id", "n"), "firsts")
     links = stage(close_lines(docs, firsts, distance, least).distinct(), "close")
     roots = components(links).select(F.col("node").alias("line"), "root")
     member = stage(firsts.join(roots, "line", "left").withColumn("root", F.coalesce("root", "line")),
                    "members")
     classes = stage(member.groupBy("root").agg(first, F.count("*").alias("size"))
-                    .select("root", F.col("first.doc_id").alias("class_doc"),
+                    .select("root", F.col("first.key").alias("class_key"),
+                            F.col("first.doc_id").alias("class_doc"),
                             F.col("first.line_no").alias("class_line"), "size"), "classes")
     n_rows = member.count()
     named = stage(attach(member.select("line", "root", "n"), classes, "root", "size", n_rows)
-                  .select("line", "class_doc", "class_line", "n", F.col("n").alias("n_equal")), "named")
+                  .select("line", "class_key", "class_doc", "class_line", "n", F.col("n").alias("n_equal")), "named")
     return attach(rows, named, "line", "n", rows.count()).select(
-        "doc_id", "line_no", "class_doc", "class_line", "n_equal",
-        (F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line_no") == F.col("class_line")))
-        .alias("kept"))
+        "key", "doc_id", "line_no", "class_doc", "class_line", "n_equal",
+        F.expr("key = class_key and line_no = class_line").alias("kept"))
 
 
 def without_repeated_lines(docs: DataFrame, distance: int = 2, least: int = LEAST_CHARS) -> DataFrame:
     """``docs`` without the lines that ``line_classes`` does not keep, and without the documents of
     which nothing is left. Texts that lose no line stay as they are; all columns stay, and
     ``n_chars``, where there is one, follows the text."""
-    gone = (line_classes(docs, distance, least).where("not kept").groupBy(F.col("doc_id").alias("_id"))
-            .agg(F.collect_set("line_no").alias("_gone")))
-    met = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left")
+    rows = numbered(docs, "_row")
+    gone = (line_classes_by_row(texts(rows, F.col("_row").alias("key")), distance, least).where("not kept")
+            .groupBy(F.col("key").alias("_row")).agg(F.collect_set("line_no").alias("_gone")))
+    met = rows.join(gone, "_row", "left")
     left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_gone", i.cast("long")))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     met = met.withColumn("text", text).where("_gone is null or text rlike '\\\\S'")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from pairmill.llm.common import blobs, blocks, texts
+from pairmill.llm.common import blobs, blocks, numbered, texts
 from pairmill.llm.skew import attach
 from pairmill.llm.suffixes import sort_suffixes
 from pairmill.sources.staging import stage
@@ -34,8 +34,6 @@ GRAM = 32
 BLOCK = 4 << 20
 #: Candidates of one anchor that a task sorts.
 GROUP_ROWS = 20_000
-#: Stands for a null id, which comes before all others.
-NO_ID = -(1 << 63)
 
 _U = np.uint64
 _LETTERS = np.random.default_rng(32).integers(0, 1 << 64, 256, _U)
@@ -184,9 +182,8 @@ def _read_candidates(size: int):
                                          block.column("places").to_pylist(), strict=True):
                 for p in places or ():
                     own = text[p["start"]:p["start"] + p["size"] + size - 1]
-                    if len(own) == p["size"] + size - 1:  # rows that repeat an id may be shorter
-                        for x, v in zip(out, (p["anchor"], key, p["start"], own), strict=True):
-                            x.append(v)
+                    for x, v in zip(out, (p["anchor"], key, p["start"], own), strict=True):
+                        x.append(v)
             for a in range(0, len(out[0]), 20_000):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[a:a + 20_000], t) for x, t in
@@ -303,7 +300,8 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, (pa.int64(),) * 4 + (pa.string(), pa.binary()),
                                             strict=True)],
-            ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]).add_column(
+                1, "doc_id", block.column("doc_id"))
 
 
 @F.pandas_udf(StringType())
@@ -334,16 +332,21 @@ def without_repeats(docs: DataFrame, size: int = 100) -> DataFrame:
     ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept_sha256`` and the bytes
     ``kept`` (not always valid UTF-8, as a run may begin within a character). ``docs`` needs
     ``doc_id`` and ``text``; other columns are not read. A null text counts as empty, a null id comes
-    before all others. Rows that repeat an id are one document: neither is earlier than the other,
-    and what is found for the id is cut from each. An empty table gives no rows. ``size`` is 64 to
+    before all others. Rows that repeat an id, or have none, are documents of their own, in the order
+    of the table. An empty table gives no rows. ``size`` is 64 to
     158.
     """
+    return without_repeats_by_row(
+        texts(numbered(docs.select("doc_id", "text"), "key"), F.col("key")), size).drop("key")
+
+
+def without_repeats_by_row(docs: DataFrame, size: int = 100) -> DataFrame:
+    """``without_repeats`` of ``key`` (a number of each row, not null), ``doc_id`` and ``text``; gives
+    the ``key`` too, by which it judges what is earlier."""
     if not 64 <= size <= 158:
         raise ValueError("size must be 64 to 158")
-    docs = texts(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
     spans = repeated_spans(docs, size).groupBy("key").agg(
         F.collect_list(F.struct("start", "size")).alias("spans"))
-    done = docs.join(spans, "key", "left").mapInArrow(
-        _cut, "key long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    return done.select(F.expr(f"nullif(key, {NO_ID})").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
-                       "kept_sha256", "kept")
+    return docs.join(spans, "key", "left").mapInArrow(
+        _cut, "key long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+              "kept binary")

@@ -1,5 +1,9 @@
+import random
+
 import __spark_entry__ as entry
 import corpus_pipeline
+import pytest
+from pairmill.llm import lines, repeats
 from test_tokens import check_pieces
 
 
@@ -24,3 +28,44 @@ def test_run(spark):
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def rows_of_shared_ids():
+    """Different texts under null and repeated ids; some have copies, lines or passages of others."""
+    r = random.Random(4)
+
+    def text(n):
+        return " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(n))
+
+    x, y, line, passage = text(60), text(60), text(12), text(40)
+    return [(None, x), (None, y), (None, x), (None, passage + text(20)), (None, text(20) + passage + text(9)),
+            (3, x), (5, text(30) + "\n" + line), (5, text(25)), (5, line + "\n" + text(31)), (5, y), (5, "12 34"),
+            (6, text(22)), (None, "12 34"), (7, text(40)), (7, text(40))]
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_shared_ids(spark, stage):
+    """Every row is judged as under an id of its own."""
+    rows = rows_of_shared_ids()
+    order = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+
+    def run(data):
+        labelled = [(100 + i, t, t[:2], len(t)) for i, t in enumerate(["ab cd ef gh ij kl mn op", "xy zw vu"] * 9)]
+        df = spark.createDataFrame([(i, t, None, len(t)) for i, t in data] + labelled * (stage == 0),
+                                   "doc_id long, text string, lang string, n_chars int").coalesce(1)
+        return sorted((r.text, r.n_chars) for r in corpus_pipeline.STAGES[stage][1](spark, df, None).collect())
+
+    got = run(rows)
+    assert got == run(list(enumerate(order))) and got
+    assert got != sorted((t, len(t)) for _, t in rows)
+
+
+def test_operators_of_shared_ids(spark):
+    rows = rows_of_shared_ids()
+    order = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
+    schema = "doc_id long, text string"
+    own, plain = (spark.createDataFrame(d, schema).coalesce(1) for d in (rows, list(enumerate(order))))
+    cut = [sorted(r.kept_sha256 for r in repeats.without_repeats(d).collect()) for d in (own, plain)]
+    assert cut[0] == cut[1]
+    kept = [sorted((r.line_no, r.n_equal, r.kept) for r in lines.line_classes(d).collect()) for d in (own, plain)]
+    assert kept[0] == kept[1]
