@@ -215,6 +215,32 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["line", "content"])
 
 
+def _near(role: list[int], text: list[str], distance: int) -> Iterator[tuple[int, int]]:
+    """Numbers of an index and a probe of a group that may be close."""
+    index = [i for i, r in enumerate(role) if not r]
+    bags = _bags([text[i] for i in index]) if len(index) > 4 else None
+    for p in (i for i, r in enumerate(role) if r):
+        near = index
+        if bags is not None:
+            apart = np.abs(bags - _bags([text[p]])).sum(1)
+            near = [index[k] for k in np.flatnonzero(apart <= 2 * distance).tolist()]
+        for i in near:
+            yield i, p
+
+
+def _each(batches: Iterable[pa.RecordBatch], columns: list[str]) -> Iterator[Iterator[list[list]]]:
+    """The groups of each run of whole groups; the first two columns name the group."""
+    def split(held: list[list]) -> Iterator[list[list]]:
+        key, pair = held[:2]
+        at = 0
+        for i in range(1, len(key) + 1):
+            if i == len(key) or (key[i], pair[i]) != (key[at], pair[at]):
+                yield [x[at:i] for x in held[2:]]
+                at = i
+    for held in _groups(batches, columns):
+        yield split(held)
+
+
 def _verify(distance: int):
     """Links that join what is close in each group of a key and pair of parts."""
     def group(role: list[int], line: list[int], text: list[str]) -> Iterator[tuple[int, int]]:
@@ -225,40 +251,53 @@ def _verify(distance: int):
                 root[x] = x = root[root[x]]
             return x
 
-        index = [i for i, r in enumerate(role) if not r]
-        bags = _bags([text[i] for i in index]) if len(index) > 4 else None
-        for p in (i for i, r in enumerate(role) if r):
-            near = index
-            if bags is not None:
-                apart = np.abs(bags - _bags([text[p]])).sum(1)
-                near = [index[k] for k in np.flatnonzero(apart <= 2 * distance).tolist()]
-            for i in near:
-                a, b = find(line[i]), find(line[p])
-                if a != b and within(text[i], text[p], distance):
-                    root[max(a, b)] = min(a, b)
-                    yield line[i], line[p]
+        for i, p in _near(role, text, distance):
+            a, b = find(line[i]), find(line[p])
+            if a != b and within(text[i], text[p], distance):
+                root[max(a, b)] = min(a, b)
+                yield line[i], line[p]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, pair, role, line, text in _groups(batches, ["key", "pair", "role", "line", "content"]):
-            found: list[tuple[int, int]] = []
-            at = 0
-            for i in range(1, len(key) + 1):
-                if i == len(key) or (key[i], pair[i]) != (key[at], pair[at]):
-                    found += group(role[at:i], line[at:i], text[at:i])
-                    at = i
+        for groups in _each(batches, ["key", "pair", "role", "line", "content"]):
+            found = [x for held in groups for x in group(*held)]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64())
                                               for k in (0, 1)], ["a", "b"])
     return run
 
 
+def _earlier(distance: int):
+    """Undecided lines of each group that are close to an earlier one: ``near`` is 1 if one such stays,
+    and 0 if all are undecided. One row a line and group at most, however many are close."""
+    def group(role: list[int], line: list[int], text: list[str], doc: list[int], number: list[int],
+              stays: list[int]) -> dict[int, int]:
+        found: dict[int, int] = {}
+        if all(stays):
+            return found
+        for a, b in _near(role, text, distance):
+            if (doc[a], number[a]) > (doc[b], number[b]):
+                a, b = b, a
+            if (not stays[b] and line[a] != line[b] and found.get(line[b], -1) < stays[a]
+                    and within(text[a], text[b], distance)):
+                found[line[b]] = stays[a]
+        return found
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in _each(batches, ["key", "pair", "role", "line", "content", "doc", "line_no", "stays"]):
+            found = [x for held in groups for x in group(*held).items()]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                              pa.array([f[1] for f in found], pa.int32())], ["line", "near"])
+    return run
+
+
 def _bags(lines: list[str]) -> np.ndarray:
     """Counts of characters in 32 classes: an edit changes at most two counts by one."""
     return np.array([np.bincount(np.frombuffer(x.encode("utf-32-le"), "<u4") & 31, minlength=32)
                      for x in lines], np.int32)
 
 
-def close_lines(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> DataFrame:
-    """Links ``a``, ``b`` between distinct lines; what is reachable by close lines stays reachable.
+def meetings(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> tuple[DataFrame, DataFrame]:
+    """Groups (``key``, ``pair``) of a ``role`` of each ``line``, in which all close lines meet, and the
+    ``content`` of these lines.
 
     ``docs`` has ``key`` and ``text``, ``firsts`` the first place (``key``, ``line_no``) of each ``line``.
     """
@@ -284,8 +323,36 @@ def close_lines(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -
                  .unionByName(met.where("parts is not null").withColumn("other", others)
                               .withColumn("pair", F.expr("least(own, other) * parts + greatest(own, other)")
                                           .cast("int")).drop("parts", "own", "other")))
-    return (dealt.join(known, "line").repartition("key", "pair").sortWithinPartitions("key", "pair", "line")
-            .mapInArrow(_verify(distance), "a long, b long"))
+    return dealt, known
+
+
+def _grouped(dealt: DataFrame, known: DataFrame) -> DataFrame:
+    return dealt.join(known, "line").repartition("key", "pair").sortWithinPartitions("key", "pair", "line")
+
+
+def close_lines(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> DataFrame:
+    """Links ``a``, ``b`` between distinct lines; what is reachable by close lines stays reachable."""
+    return _grouped(*meetings(docs, firsts, distance, least)).mapInArrow(_verify(distance), "a long, b long")
+
+
+def near_earlier(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> DataFrame:
+    """The ``line`` of those within ``distance`` of an earlier line that is not itself one of them.
+
+    By rounds: what has no close earlier line among the undecided stays, what is close to a line
+    that stays after it goes. The earliest undecided line is decided in each, most lines in the first two.
+    """
+    dealt, known = meetings(docs, firsts, distance, least)
+    state = stage(known.select("line").join(firsts, "line").select(
+        "line", F.col("key").alias("doc"), "line_no", F.lit(0).alias("near")), "undecided")
+    gone = known.select("line").where("false")
+    while not state.where("near = 0").isEmpty():
+        active = state.where("near is null or near = 0").select(
+            "line", "doc", "line_no", F.expr("cast(near is null as int)").alias("stays"))
+        told = _grouped(dealt, known.join(active, "line")).mapInArrow(
+            _earlier(distance), "line long, near int").groupBy("line").agg(F.max("near").alias("near"))
+        state = stage(active.where("stays = 0").drop("stays").join(told, "line", "left"), "undecided")
+        gone = gone.unionByName(state.where("near = 1").select("line"))
+    return gone
 
 
 def line_classes(docs: DataFrame, distance: int = 2, least: int = LEAST_CHARS) -> DataFrame:
@@ -305,13 +372,19 @@ def line_classes(docs: DataFrame, distance: int = 2, least: int = LEAST_CHARS) -
     return line_classes_by_row(rows, distance, least).drop("key")
 
 
+def _places(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All lines, and of each distinct one the first place and how often it occurs."""
+    rows = stage(docs.mapInArrow(_lines, "key long, doc_id long, line_no long, line long"), "places")
+    first = F.min(F.struct("key", "line_no", "doc_id")).alias("first")
+    return rows, stage(rows.groupBy("line").agg(first, F.count("*").alias("n"))
+                       .select("line", "first.key", "first.line_no", "first.doc_id", "n"), "firsts")
+
+
 def line_classes_by_row(docs: DataFrame, distance: int, least: int) -> DataFrame:
     """``line_classes`` of ``key`` (a number of each row, not null), ``doc_id`` and ``text``; gives the
     ``key`` too, by which it judges what is earliest."""
-    rows = stage(docs.mapInArrow(_lines, "key long, doc_id long, line_no long, line long"), "places")
+    rows, firsts = _places(docs)
     first = F.min(F.struct("key", "line_no", "doc_id")).alias("first")
-    firsts = stage(rows.groupBy("line").agg(first, F.count("*").alias("n"))
-                   .select("line", "first.key", "first.line_no", "first.doc_id", "n"), "firsts")
     links = stage(close_lines(docs, firsts, distance, least).distinct(), "close")
     roots = components(links).select(F.col("node").alias("line"), "root")
     member = stage(firsts.join(roots, "line", "left").withColumn("root", F.coalesce("root", "line")),
@@ -328,13 +401,23 @@ def line_classes_by_row(docs: DataFrame, distance: int, least: int) -> DataFrame
         F.expr("key = class_key and line_no = class_line").alias("kept"))
 
 
+def repeated_lines(docs: DataFrame, distance: int, least: int) -> DataFrame:
+    """``key`` and ``line_no`` of the lines that ``without_repeated_lines`` removes."""
+    rows, firsts = _places(docs)
+    gone = near_earlier(docs, firsts, distance, least).withColumn("gone", F.lit(True))
+    facts = stage(firsts.join(gone, "line", "left").where("n > 1 or gone").select(
+        "line", "n", F.col("key").alias("first_key"), F.col("line_no").alias("first_no"), "gone"), "repeated")
+    return attach(rows, facts, "line", "n", rows.count()).where(
+        "gone or first_key <> key or first_no <> line_no").select("key", "line_no")
+
+
 def without_repeated_lines(docs: DataFrame, distance: int = 2, least: int = LEAST_CHARS) -> DataFrame:
-    """``docs`` without the lines that ``line_classes`` does not keep, and without the documents of
-    which nothing is left. Texts that lose no line stay as they are; all columns stay, and
+    """``docs`` without the lines that equal an earlier one, or are within ``distance`` edits of an
+    earlier one that itself stays (both of ``least`` characters or more), and without the documents of
+    which nothing is left. What goes is never further than that from what stays. Texts that lose no line stay as they are; all columns stay, and
     ``n_chars``, where there is one, follows the text."""
     rows = numbered(docs, "_row")
-    gone = (line_classes_by_row(texts(rows, F.col("_row").alias("key")), distance, least).where("not kept")
-            .groupBy(F.col("key").alias("_row")).agg(F.collect_set("line_no").alias("_gone")))
+    gone = (repeated_lines(texts(rows, F.col("_row").alias("key")), distance, least).groupBy(F.col("key").alias("_row")).agg(F.collect_set("line_no").alias("_gone")))
     met = rows.join(gone, "_row", "left")
     left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_gone", i.cast("long")))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))

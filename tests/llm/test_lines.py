@@ -103,3 +103,40 @@ def test_without_repeated_lines(spark, awkward):
 
 def test_empty(empty):
     assert lines.line_classes(empty).count() == 0 == lines.without_repeated_lines(empty).count()
+
+
+def brute_left(rows, distance, least):
+    """Texts without lines that equal an earlier one or are close to an earlier one that stays."""
+    seen, stays, out = set(), [], []
+    for d, t in rows:
+        left = []
+        for x in t.split("\n"):
+            if x.split():
+                if x in seen:
+                    continue
+                seen.add(x)
+                if len(x) >= least:
+                    if any(abs(len(x) - len(y)) <= distance and edits(x, y) <= distance for y in stays):
+                        continue
+                    stays.append(x)
+            left.append(x)
+        if left == t.split("\n") or any(x.split() for x in left):
+            out.append((d, "\n".join(left)))
+    return out
+
+
+@pytest.mark.parametrize("group_rows", [512, 4])
+def test_chains_of_close_lines(spark, monkeypatch, group_rows):
+    """A line goes only for an earlier one that stays: not by way of others, nor for a later one."""
+    monkeypatch.setattr(lines, "GROUP_ROWS", group_rows)
+    base = "Invoice number 0000000 was paid in full"
+    steps = [base[:15] + "9" * i + base[15 + i:] for i in range(8)]
+    rows = [(i, steps[i] + "\nline of its own, number %d" % i) for i in (0, 4, 2, 1, 3, 6, 7, 5)]
+    rows = [(d, t) for d, (_, t) in enumerate(rows)]
+    r = random.Random(6)
+    for d in range(8, 60):
+        rows.append((d, "\n".join(changed(r, r.choice(steps), r.randint(0, 3)) for _ in range(2))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, lines.without_repeated_lines(df).collect()))
+    assert got == brute_left(rows, 2, lines.LEAST_CHARS)
+    assert [t.split("\n")[0] for _, t in got[:2]] == [steps[0], steps[4]]
