@@ -5,20 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairmill.operators.lookup import ranked
+
 ROWS_PER_DOCUMENT = 10_000_000
 
 
 def dialogue_pairs(turns: DataFrame) -> DataFrame:
-    """User turns with the assistant turn that directly follows.
+    """User turns with the assistant turn that comes next in the conversation, by turn number.
 
-    An equi-join on (conversation, turn) rather than a window: the turn number
-    is part of the hash key, so one endless conversation still spreads evenly.
+    Numbers may have gaps. Turns get their place in the order of all, over range partitions, and meet
+    the next place by an equi-join, so one endless conversation still spreads evenly. Turns without
+    ``conv_id`` are one conversation, and those without a number come last.
     """
-    asked = turns.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("query"))
-    replied = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("response"))
-    return asked.join(replied, ["conv_id", "turn"]).select(
+    order = [F.col("conv_id").asc(), F.col("turn").asc_nulls_last(), F.desc("role"), F.asc("text")]
+    placed = ranked(turns.select("conv_id", "turn", "role", "text"), order, "place")
+    asked = placed.where(F.col("role") == "user").select("place", "conv_id", "turn", F.col("text").alias("query"))
+    replied = placed.where(F.col("role") == "assistant").select(
+        (F.col("place") - 1).alias("place"), F.col("conv_id").alias("_conv"), F.col("text").alias("response"))
+    return asked.join(replied, "place").where(F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
         "conv_id", "turn", (F.col("conv_id") * ROWS_PER_DOCUMENT + F.col("turn")).alias("row_id"),
         "query", "response")
 

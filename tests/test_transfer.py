@@ -174,3 +174,15 @@ def test_spread(spark):
     assert staging.spread(spark.range(9).coalesce(1)).rdd.getNumPartitions() == cores
     wide = spark.range(9).repartition(cores + 3)
     assert staging.spread(wide) is wide
+
+
+def test_dialogue_pairs_by_order(spark):
+    """The next turn is the next in order: gaps and repeated numbers neither lose nor multiply pairs."""
+    rows = [(1, 1, "user", "u1"), (1, 3, "assistant", "a1"), (1, 3, "assistant", "a1 again"), (1, 9, "user", "u2"),
+            (2, 10, "assistant", "not asked here"), (2, 12, "user", "u3"), (2, 40, "system", "s"),
+            (2, 41, "assistant", "a3"), (3, 5, "user", "u4"), (3, 700, "assistant", "a4")]
+    rows += [(9, 3 * i, "user" if i % 2 == 0 else "assistant", f"t{i:03}") for i in range(400)]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(7)
+    got = sorted((r.conv_id, r.turn, r.query, r.response) for r in pairs.dialogue_pairs(turns).collect())
+    assert got == [(1, 1, "u1", "a1"), (3, 5, "u4", "a4")] + [
+        (9, 3 * i, f"t{i:03}", f"t{i + 1:03}") for i in range(0, 400, 2)]
