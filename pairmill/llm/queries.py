@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairmill.llm import (exact, grading, idfiles, language, lines, packing, pieces, quality, repeats,
-                          simhash)
+                          simhash, whitening)
 from pairmill.llm.common import documents
 from pairmill.sources.staging import stage_path
 
@@ -88,3 +88,8 @@ SQL["op9_exact_dedup"] = """with d as (select doc_id, coalesce(text, '') as t fr
 @query
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
