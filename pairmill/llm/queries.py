@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.llm import (exact, grading, idfiles, language, lines, packing, pieces, quality, repeats,
-                          simhash, whitening)
+from pairmill.llm import (divergence, exact, grading, idfiles, language, lines, packing, pieces, quality,
+                          repeats, simhash, whitening)
 from pairmill.llm.common import documents
 from pairmill.sources.staging import stage_path
 
@@ -93,3 +93,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(documents(spark, sf_dir))
+
+
+SQL["op13_source_divergence"] = r"""with d as (
+  select row_number() over () as k, coalesce(lang, '') as lang, coalesce(source, '') as source,
+   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+ w as (select k, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+ s as (select lang, source, term, count(*)::hugeint as n, count(distinct k) as docs from w group by all),
+ l as (select lang, term, sum(n)::hugeint as n from s group by all having sum(docs) >= 3),
+ lt as (select lang, sum(n)::hugeint as total, count(*)::hugeint as v from l group by all),
+ g as (select distinct lang, source from d),
+ c as (select g.lang, g.source, l.term, coalesce(s.n, 0)::hugeint as n, l.n as lang_n from g join l on l.lang = g.lang
+   left join s on s.lang = g.lang and s.source = g.source and s.term = l.term),
+ gt as (select lang, source, sum(n)::hugeint as total from c group by all),
+ p as (select c.lang, c.source, c.term, c.n, 1 + 1000000000 * (c.n + 1) // (gt.total + lt.v) as p,
+   1 + 1000000000 * (c.lang_n + 1) // (lt.total + lt.v) as q
+  from c join gt on gt.lang = c.lang and gt.source = c.source join lt on lt.lang = c.lang),
+ f as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) as value
+  from p a join p b on b.lang = a.lang and b.term = a.term and b.source <> a.source group by all),
+ pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0)::bigint as value
+  from g a join g b on b.lang = a.lang and b.source <> a.source
+  left join f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+ terms as (select lang, source, 'term' as part, term as item, ((p - q) * (p - q) // q)::bigint as value
+  from p where n > 0 and p > q),
+ r as (select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank
+  from (select * from pairs union all select * from terms))
+ select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 200"""
