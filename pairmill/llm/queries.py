@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairmill.llm import (divergence, exact, grading, idfiles, language, lines, packing, pieces, quality,
-                          repeats, simhash, whitening)
+from pairmill.llm import (divergence, exact, grading, idfiles, language, lines, ngrams, packing, pieces,
+                          quality, repeats, simhash, whitening)
 from pairmill.llm.common import documents
 from pairmill.sources.staging import stage_path
 
@@ -95,6 +95,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.by_component(whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
 
 
+@query
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.near_documents(documents(spark, sf_dir))
+
+
 @query
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audited(documents(spark, sf_dir))
