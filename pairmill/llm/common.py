@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pairmill.sources.staging import spread, stage
 
 BLOCK_BYTES = 8 << 20
+#: Largest table that is broadcast, by the bytes of its rows and of their lists' elements.
+BROADCAST_BYTES, ROW_BYTES, ELEMENT_BYTES = 32 << 20, 64, 48
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +33,22 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
     return stage(ranged.withColumn(name, F.monotonically_increasing_id()).drop(at), "numbered")
 
 
+def free_name(docs: DataFrame, base: str) -> str:
+    """``base``, with as many underscores as no column of ``docs`` has in front of it."""
+    taken = {c.lower() for c in docs.columns}
+    while base.lower() in taken:
+        base = "_" + base
+    return base
+
+
+def bounded(table: DataFrame, lists: str | None = None) -> DataFrame:
+    """A staged ``table`` for the small side of a join: broadcast where its rows, and the elements of
+    the column ``lists``, take ``BROADCAST_BYTES`` at most; else shuffled like any other."""
+    rows, elements = table.agg(F.count("*"), F.coalesce(F.sum(F.size(lists)), F.lit(0)) if lists else F.lit(0)).first()
+    few = rows * ROW_BYTES + elements * ELEMENT_BYTES <= BROADCAST_BYTES
+    return F.broadcast(table) if few else table
+
+
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` and whole ``text`` (null: empty), in at least one task per core."""
     return spread(docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"),

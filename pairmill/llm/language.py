@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
+from pairmill.sources.staging import spread
 
 GRAM_BITS = 14
 STEP_PIECES = 20_000
@@ -248,9 +249,38 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
     ``text``, ``training`` ``text`` and ``lang``; no other column is read. Equal texts are labelled alike;
     an empty table gives no rows; without training rows every text is ``und``.
     """
-    model = learned(training, max_rows)
+    label = _labels(learned(training, max_rows), penalty, cap)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, out in label(batches):
+            kinds = (pa.string(), pa.float64(),
+                     pa.list_(pa.struct([("lang", pa.string()), *((c, pa.int64()) for c in
+                                                                 ("first", "n", "skip", "letters"))])))
+            yield pa.RecordBatch.from_arrays(
+                [block.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
+                ["doc_id", "lang_pred", "score", "spans"])
+
+    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, "
+                                       "spans array<struct<lang:string, first:long, n:long, skip:long, letters:long>>")
+
+
+def of_one_language(docs: DataFrame, training: DataFrame, least_share: float = 0.5, penalty: float = 12.0,
+                    cap: float = 6.0, max_rows: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of whose letters one language has ``least_share``
+    or more, as ``identified`` tells. A null text, and one without letters, goes."""
+    label = _labels(learned(training, max_rows), penalty, cap)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, out in label(batches):
+            yield block.filter(pa.array([lang != "und" and score >= least_share for lang, score, _ in out],
+                                        pa.bool_()))
+
+    return spread(docs).mapInArrow(run, docs.schema)
+
+
+def _labels(model: Model, penalty: float, cap: float):
+    """Blocks of rows, and language, score and spans of each row's text."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
         words = Words(model, cap)
         for block in blocks(batches):
             if max(len(words), words.used) > 300_000 or words.held > BLOCK_BYTES:
@@ -279,12 +309,5 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
                 out.append((model.languages[top], float(share[top]) if told else 0.0,
                             [{"lang": model.languages[k], "first": a, "n": n, "skip": x, "letters": m}
                              for k, a, n, x, m in spans]))
-            kinds = (pa.string(), pa.float64(),
-                     pa.list_(pa.struct([("lang", pa.string()), *((c, pa.int64()) for c in
-                                                                 ("first", "n", "skip", "letters"))])))
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))],
-                ["doc_id", "lang_pred", "score", "spans"])
-
-    return texts(docs).mapInArrow(run, "doc_id long, lang_pred string, score double, "
-                                       "spans array<struct<lang:string, first:long, n:long, skip:long, letters:long>>")
+            yield block, out
+    return run

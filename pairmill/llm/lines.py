@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, numbered, texts
+from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, texts
 from pairmill.llm.skew import attach, components
 from pairmill.sources.staging import stage
 
@@ -306,9 +306,9 @@ def meetings(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> t
                  .mapInArrow(_shared, "key long, line long"), "shared")
     hits = hits.select("key", F.expr("line & 1").cast("int").alias("role"),
                        F.expr("line & -2").alias("line"))
-    places = (firsts.join(hits.select("line").distinct(), "line", "left_semi")
-              .groupBy("key").agg(F.collect_list(F.struct("line_no", "line")).alias("places")))
-    known = stage(docs.join(places, "key", "left")
+    places = stage(firsts.join(hits.select("line").distinct(), "line", "left_semi")
+                   .groupBy("key").agg(F.collect_list(F.struct("line_no", "line")).alias("places")), "line-places")
+    known = stage(docs.join(bounded(places, "places"), "key")
                   .select("text", "places").mapInArrow(_read, "line long, content string")
                   .dropDuplicates(["line"]), "lines")
     large = stage(hits.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * GROUP_ROWS)
@@ -416,13 +416,15 @@ def without_repeated_lines(docs: DataFrame, distance: int = 2, least: int = LEAS
     earlier one that itself stays (both of ``least`` characters or more), and without the documents of
     which nothing is left. What goes is never further than that from what stays. Texts that lose no line stay as they are; all columns stay, and
     ``n_chars``, where there is one, follows the text."""
-    rows = numbered(docs, "_row")
-    gone = (repeated_lines(texts(rows, F.col("_row").alias("key")), distance, least).groupBy(F.col("key").alias("_row")).agg(F.collect_set("line_no").alias("_gone")))
-    met = rows.join(gone, "_row", "left")
-    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_gone", i.cast("long")))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    met = met.withColumn("text", text).where("_gone is null or text rlike '\\\\S'")
+    name, lost = free_name(docs, "row"), free_name(docs, "gone")
+    rows = numbered(docs, name)
+    gone = stage(repeated_lines(texts(rows, F.col(name).alias("key")), distance, least)
+                 .groupBy(F.col("key").alias(name)).agg(F.collect_set("line_no").alias(lost)), "gone-lines")
+    met = rows.join(bounded(gone, lost), name, "left")
+    left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(lost, i.cast("long")))
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    met = met.withColumn("text", text).where(F.col(lost).isNull() | F.col("text").rlike("\\S"))
     if "n_chars" in docs.columns:
-        met = met.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars"))
+        met = met.withColumn("n_chars", F.when(F.col(lost).isNull(), F.col("n_chars"))
                              .otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return met.select(*docs.columns)

@@ -19,13 +19,11 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from pairmill.llm.common import blobs, blocks, numbered, texts
+from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, texts
 from pairmill.llm.skew import attach
 from pairmill.llm.suffixes import sort_suffixes
 from pairmill.sources.staging import stage
@@ -260,9 +258,9 @@ def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
     met = (rows.repartition("anchor").sortWithinPartitions("anchor", "digest", "key", "place")
            .mapInArrow(_meet(size), "key long, start long, size long, anchor long"))
     met = stage(met, "contexts")
-    places = met.where("anchor is not null").groupBy("key").agg(
-        F.collect_list(F.struct("start", "size", "anchor")).alias("places"))
-    candidates = stage(docs.join(places, "key", "left").mapInArrow(
+    places = stage(met.where("anchor is not null").groupBy("key").agg(
+        F.collect_list(F.struct("start", "size", "anchor")).alias("places")), "places")
+    candidates = stage(docs.join(bounded(places, "places"), "key").mapInArrow(
         _read_candidates(size), "anchor long, key long, start long, context binary"), "candidates")
     large = stage(candidates.groupBy("anchor").agg(F.count("*").alias("n"))
                   .where(F.col("n") > GROUP_ROWS).withColumn("large", F.lit(True)), "large")
@@ -304,12 +302,6 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 1, "doc_id", block.column("doc_id"))
 
 
-@F.pandas_udf(StringType())
-def kept_text(kept: pd.Series) -> pd.Series:
-    """Text of kept bytes. A character that lost some of its bytes is left out whole."""
-    return kept.map(lambda x: None if x is None else bytes(x).decode(errors="ignore"))
-
-
 def kept_runs(n: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """What the spans leave of ``n`` bytes."""
     runs, at = [], 0
@@ -343,10 +335,47 @@ def without_repeats(docs: DataFrame, size: int = 100) -> DataFrame:
 def without_repeats_by_row(docs: DataFrame, size: int = 100) -> DataFrame:
     """``without_repeats`` of ``key`` (a number of each row, not null), ``doc_id`` and ``text``; gives
     the ``key`` too, by which it judges what is earlier."""
-    if not 64 <= size <= 158:
-        raise ValueError("size must be 64 to 158")
-    spans = repeated_spans(docs, size).groupBy("key").agg(
-        F.collect_list(F.struct("start", "size")).alias("spans"))
-    return docs.join(spans, "key", "left").mapInArrow(
+    return docs.join(bounded(_spans(docs, size), "spans"), "key", "left").mapInArrow(
         _cut, "key long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
               "kept binary")
+
+
+def _spans(docs: DataFrame, size: int) -> DataFrame:
+    if not 64 <= size <= 158:
+        raise ValueError("size must be 64 to 158")
+    return stage(repeated_spans(docs, size).groupBy("key").agg(
+        F.collect_list(F.struct("start", "size")).alias("spans")), "spans")
+
+
+def without_passages(docs: DataFrame, size: int = 100) -> DataFrame:
+    """``docs``, with all columns, but for the bytes that ``without_repeats`` removes, and for the rows of
+    which no word is left by that. A character that lost some of its bytes is left out whole. Texts that lose
+    nothing stay as they are, null and empty ones too; ``n_chars``, where there is one, follows the text."""
+    name, marked = free_name(docs, "row"), free_name(docs, "spans")
+    rows = numbered(docs, name)
+    spans = _spans(texts(rows, F.col(name).alias("key")), size)
+    met = rows.join(bounded(spans.select(F.col("key").alias(name), F.col("spans").alias(marked)), marked), name, "left")
+    at = {c: i for i, c in enumerate(docs.columns)}
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = {i: s for i, s in enumerate(batch.column(len(at)).to_pylist()) if s}
+            batch = batch.select(range(len(at)))
+            if cut:
+                new, stays = batch.column(at["text"]).to_pylist(), [True] * batch.num_rows
+                for i, found in cut.items():
+                    data = new[i].encode()
+                    runs = kept_runs(len(data), [(s["start"], s["start"] + s["size"]) for s in found])
+                    new[i] = b"".join([data[a:b] for a, b in runs]).decode(errors="ignore")
+                    stays[i] = bool(new[i].split())
+                columns = {"text": pa.array(new, batch.schema.field(at["text"]).type)}
+                if "n_chars" in at:
+                    kind = batch.schema.field(at["n_chars"])
+                    sizes = batch.column(at["n_chars"]).to_pylist()
+                    columns["n_chars"] = pa.array([len(new[i]) if i in cut else n for i, n in enumerate(sizes)], kind.type)
+                for c, values in columns.items():
+                    batch = batch.set_column(at[c], batch.schema.field(at[c]), values)
+                batch = batch.filter(pa.array(stays))
+            yield batch
+
+    return met.select(*docs.columns, marked).mapInArrow(run, docs.schema)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, texts
+from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, texts
 from pairmill.llm.skew import attach, components
 from pairmill.sources.staging import stage
 
@@ -171,3 +171,14 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: i
                   .select("fp", "component_id", "n"), "named")
     return attach(rows, named, "fp", "n", rows.count()).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, distance: int = 4) -> DataFrame:
+    """``docs``, with all columns, but only the row with the smallest ``doc_id`` of each component of
+    ``near_duplicates``; a null id comes first, and of several rows with that id the first of the
+    table stays. Texts without words are one component, of which one row stays."""
+    name = free_name(docs, "row")
+    rows = numbered(docs, name)
+    found = near_duplicates(rows.select(F.col(name).alias("doc_id"), "text"), words, seed, distance)
+    gone = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias(name)), "near-copies")
+    return rows.join(bounded(gone), name, "left_anti").select(*docs.columns)

@@ -3,7 +3,7 @@ import random
 import __spark_entry__ as entry
 import corpus_pipeline
 import pytest
-from pairmill.llm import lines, repeats
+from pairmill.llm import common, lines, repeats
 from test_tokens import check_pieces
 
 
@@ -27,7 +27,7 @@ def test_run(spark):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def rows_of_shared_ids():
@@ -60,6 +60,40 @@ def test_shared_ids(spark, stage):
     assert got != sorted((t, len(t)) for _, t in rows)
 
 
+@pytest.mark.parametrize("stage", range(4))
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_clashing_columns_and_no_broadcast(spark, monkeypatch, stage, shuffled):
+    """Columns with the names of helper columns come through, on either path of the joins."""
+    if shuffled:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    rows = rows_of_shared_ids()
+    names = "row _row gone _gone _kept kept spans key at row_at places".split()
+    labelled = [(100 + i, t, t[:2], len(t), *[7] * len(names))
+                for i, t in enumerate(["ab cd ef gh ij kl mn op", "xy zw vu"] * 9)] * (stage == 0)
+    data = [(i, t, None, len(t), *range(77, 77 + len(names))) for i, t in rows] + labelled
+    schema = "doc_id long, text string, lang string, n_chars int, " + ", ".join(f"`{n}` int" for n in names)
+    df = spark.createDataFrame(data, schema).coalesce(1)
+    kept = corpus_pipeline.STAGES[stage][1](spark, df, None)
+    assert kept.columns == df.columns
+    got = [tuple(r) for r in kept.collect()]
+    plain = [(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.STAGES[stage][1](
+        spark, df.select("doc_id", "text", "lang", "n_chars"), None).collect()]
+    assert sorted((r[0], r[1], r[3]) for r in got if r[0] is not None) == sorted(p for p in plain if p[0] is not None)
+    assert len(got) == len(plain) and all(r[4:] in (tuple(range(77, 77 + len(names))), (7,) * len(names)) for r in got)
+
+
+def test_one_long_text(spark):
+    """A text of over a megabyte goes through all stages whole."""
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(30_000)]
+    long = "\n".join(" ".join(r.choices(words, k=15)) for _ in range(12_000))
+    rows = [(1, long, "xx", len(long)), (3, long, "xx", 1), *((10 + i, " ".join(words[9 * i:9 * i + 9]), "xx", 62) for i in range(12))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars int")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(step(spark, docs, None).collect(), docs.schema)
+    assert sorted((r.doc_id, r.text == long) for r in docs.collect()) == [(1, True), *((10 + i, False) for i in range(12))]
+
+
 def test_operators_of_shared_ids(spark):
     rows = rows_of_shared_ids()
     order = [t for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))]
