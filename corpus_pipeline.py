@@ -6,53 +6,40 @@ Each stage's result is written to the cluster's shared folder and read again by
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pairmill.llm import language, lines, packing, repeats, simhash
-from pairmill.llm.common import numbered, texts
 from pairmill.llm.queries import language_training
 from pairmill.sources.staging import stage
 
 
-def by_row(rows: DataFrame) -> DataFrame:
-    """Texts under the number of their row: ids can repeat or be null, and each row is judged alone."""
-    return rows.select(F.col("_row").alias("doc_id"), "text")
-
-
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those of which no language has half the letters."""
-    rows = numbered(docs, "_row")
-    found = language.identified(by_row(rows), language_training(docs)).where(
-        "lang_pred <> 'und' and score >= 0.5").select(F.col("doc_id").alias("_row"))
-    return rows.join(found, "_row", "left_semi").select(*docs.columns)
+    """Drops texts of which no language has half the letters; null and empty texts and others without
+    a letter go too. Equal texts fare alike, whatever their ids."""
+    return language.of_one_language(docs, language_training(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes lines that equal an earlier one but for two edits, and documents left without any."""
+    """Removes lines that equal an earlier one but for two edits, and documents left without any word by
+    that. Null and empty texts stay. Earlier is what has the smaller id, a null id first, and of rows
+    with one id what comes first in the table; of equal lines the earliest stays."""
     return lines.without_repeated_lines(docs)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each SimHash component the document with the smallest id, a null id first; of several
-    rows with that id the first."""
-    rows = numbered(docs, "_row")
-    gone = simhash.near_duplicates(by_row(rows)).where("doc_id <> component_id")
-    return rows.join(gone.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*docs.columns)
+    rows with that id the first. Null and empty texts, and others without words, are one component."""
+    return simhash.without_near_duplicates(docs)
 
 
 def dedup_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Removes bytes of 100-byte strings that start earlier, and documents left without a word."""
-    rows = numbered(docs, "_row")
-    found = repeats.without_repeats_by_row(texts(rows, F.col("_row").alias("key"))).where(
-        "n_removed > 0").select(F.col("key").alias("_row"), repeats.kept_text("kept").alias("_kept"))
-    met = rows.join(found, "_row", "left")
-    text = F.coalesce("_kept", "text")
-    return (met.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars"))
-                           .otherwise(F.length("_kept")).cast(docs.schema["n_chars"].dataType))
-            .withColumn("text", text).where("_kept is null or _kept rlike '\\\\S'").select(*docs.columns))
+    """Removes bytes of 100-byte strings that start earlier, and documents left without a word by that.
+    Null and empty texts stay; earlier is as in ``dedup_lines``."""
+    return repeats.without_passages(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 ids; a null text gives its end id alone. Rows that
+    repeat an id or a text are packed each for itself."""
     return packing.packed(docs)
 
 
