@@ -9,7 +9,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
@@ -17,6 +17,8 @@ from pairmill.sources.staging import spread
 
 GRAM_BITS = 14
 STEP_PIECES = 20_000
+#: Score of a language that is no candidate.
+NEVER = -1e9
 #: Letters that are scored together; what is longer gives several chunks.
 CHUNK = 40
 #: First code points of ranges, and the script of each (0: none in particular).
@@ -81,9 +83,9 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Model(NamedTuple):
-    """``scores``: log probability of each gram by language; ``scripts``: 0 where a language uses
-    a script, a large penalty where it doesn't; ``known``: scripts that any uses; ``common``: the
-    most frequent language's number."""
+    """``scores``: log probability of each gram by language; ``scripts``: which languages are candidates
+    for letters of a script; ``known``: scripts that have any; ``common``: the most frequent
+    language's number."""
 
     languages: list[str]
     scores: np.ndarray
@@ -92,13 +94,25 @@ class Model(NamedTuple):
     common: int
 
 
+def training_sample(rows: DataFrame, max_rows: int) -> DataFrame:
+    """``lang`` and ``text`` of at most ``max_rows`` different labelled texts, copies counted once.
+
+    Texts are ranked by hash within their language, and taken by rank: a language gets an equal
+    share, or all of its texts where it has fewer. Whole texts are read for the sample alone.
+    """
+    rows = rows.select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("h")).where(
+        "text is not null and lang is not null")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("rank")
+    chosen = (rows.select("lang", "h").distinct().select("lang", "h", rank).where(F.col("rank") <= max_rows)
+              .orderBy("rank", "h", "lang").limit(max_rows).select("lang", "h"))
+    return rows.join(F.broadcast(chosen), ["lang", "h"], "left_semi").groupBy("lang", "h").agg(
+        F.first("text").alias("text")).select("lang", "text")
+
+
 def learned(rows: DataFrame, max_rows: int = 20_000) -> Model:
-    """Model of ``text`` and ``lang``, from a bounded sample: the ``max_rows`` rows whose texts have the
-    smallest hashes. What reaches the driver is one count per language and gram or script."""
-    rows = rows.select("text", "lang").where("text is not null and lang is not null")
-    # Ranks by a narrow table first; whole texts are read for the sample alone.
-    edge = rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
-    sample = rows.where(F.xxhash64("text") <= F.lit(edge)) if edge is not None else rows
+    """Model of ``text`` and ``lang``, from ``training_sample``. What reaches the driver is one count per
+    language and gram or script, and the rows of each language."""
+    sample = training_sample(rows, max_rows)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -120,6 +134,8 @@ def learned(rows: DataFrame, max_rows: int = 20_000) -> Model:
     totals = (sample.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram")
               .agg(F.sum("n").alias("n")).toPandas())
     languages = sorted(totals["lang"].unique())
+    sizes = {r.lang: r.n for r in rows.groupBy(F.col("lang").cast("string").alias("lang")).agg(
+        F.count("text").alias("n")).collect()}
     number = {x: i for i, x in enumerate(languages)}
     table = np.zeros(((1 << GRAM_BITS) + N_SCRIPTS, len(languages)))
     table[totals["gram"], totals["lang"].map(number)] = totals["n"]
@@ -128,11 +144,12 @@ def learned(rows: DataFrame, max_rows: int = 20_000) -> Model:
     # A language is a candidate for a script with a hundredth of the script's words, or of its own.
     uses = (scripts >= 0.01 * scripts.sum(1, keepdims=True)) | (scripts >= 0.01 * scripts.sum(0))
     uses &= scripts > 0
-    return Model(languages, scores, np.where(uses, 0.0, -60.0), uses.any(1), int(scripts.sum(0).argmax()) if languages else 0)
+    common = max(range(len(languages)), key=lambda i: sizes[languages[i]], default=0)
+    return Model(languages, scores, uses, uses.any(1), common)
 
 
 class Words(dict):
-    """Piece to row of ``scores`` and ``letters``; row 0 is for pieces without letters. A piece of
+    """Piece to row of ``scores``, ``letters`` and ``told`` (its script is known); row 0 is for pieces without letters. A piece of
     several chunks has ``~k`` instead, and their rows in ``several[k]``."""
 
     def __init__(self, model: Model, cap: float):
@@ -146,6 +163,7 @@ class Words(dict):
         self.several: list[np.ndarray] = []
         self.scores = np.zeros((1 << 14, len(self.model.languages)), np.float32)
         self.letters = np.zeros(1 << 14, np.int32)
+        self.told = np.zeros(1 << 14, bool)
 
     def add(self, pieces: set[bytes]) -> None:
         """Score pieces that are new, ``STEP_PIECES`` at a time."""
@@ -186,15 +204,20 @@ class Words(dict):
             more = max(stop, 2 * len(self.letters)) - len(self.letters)
             self.scores = np.concatenate([self.scores, np.zeros((more, self.scores.shape[1]), np.float32)])
             self.letters = np.concatenate([self.letters, np.zeros(more, np.int32)])
+            self.told = np.concatenate([self.told, np.zeros(more, bool)])
         self.letters[self.used:stop] = [len(w) for w in words]
         if self.model.languages:
             ids, sizes, scripts = grams(words)
             # Grams of a word overlap, so their sum counts the same evidence about thrice.
             own = np.add.reduceat(self.model.scores[ids], np.cumsum(sizes) - sizes) / 3
-            own += self.model.scripts[scripts]
-            own = np.maximum(own - own.max(1, keepdims=True), -self.cap)
-            own[~self.model.known[scripts]] = 0
+            # The script leaves candidates; what others would score doesn't count, and no path can take them.
+            candidate = self.model.scripts[scripts]
+            own = np.where(candidate, own, NEVER)
+            own = np.where(candidate, np.maximum(own - own.max(1, keepdims=True), -self.cap), NEVER)
+            told = self.model.known[scripts]
+            own[~told] = 0
             self.scores[self.used:stop] = own
+            self.told[self.used:stop] = told
         self.used = stop
 
 
@@ -239,6 +262,10 @@ def identified(docs: DataFrame, training: DataFrame, penalty: float = 12.0, cap:
                max_rows: int = 20_000) -> DataFrame:
     """Each document with ``lang_pred``, ``score`` and ``spans`` of one language each.
 
+    The script of a chunk of letters leaves the languages that use it as candidates; among these, letter grams
+    score at most ``cap`` below the best, and a change of language costs ``penalty``. The model is learned
+    from at most ``max_rows`` different texts of ``training``, in equal shares by language.
+
     ``lang_pred`` is the language of most letters, ``score`` its share of them; a tie goes to the first
     name. A text that is null or has no letter is ``und`` with score 0. Letters of scripts that no
     training text has say nothing: a text of such alone gets the most frequent language with score 0.
@@ -298,7 +325,7 @@ def _labels(model: Model, penalty: float, cap: float):
                     out.append(("und", 0.0, []))
                     continue
                 share = np.bincount(own, letters, len(model.languages)) / letters.sum()
-                told = bool(scores[seen].any())
+                told = bool(words.told[seen].any())
                 top = int(share.argmax()) if told else model.common
                 first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
                 last = np.append(first[1:], len(own)) - 1

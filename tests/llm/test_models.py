@@ -206,3 +206,35 @@ def test_language_of_unspaced_text(spark):
     assert (rows[1].lang_pred, rows[1].score) == ("gg", 4920 / 5003)
     assert [tuple(s) for s in rows[2].spans] == [("gg", 0, 1, 0, 400)]
     assert [tuple(s) for s in rows[3].spans] == [("aa", 0, 1, 0, 120), ("zh", 0, 2, 120, 402)]
+
+
+def test_scripts_leave_candidates(spark):
+    """A script's words go to languages that use it, whatever the cost of a change."""
+    training = spark.createDataFrame(
+        [("hello there my world of rain and stone", "en"), ("привет мир дорогой друг и вода", "ru"),
+         ("γεια σου κόσμε και νερό", "el")] * 3, "text string, lang string")
+    texts = ["hello there мир дорогой world", "hello there привет мир дорогой друг world", "мир world κόσμε"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.lang, s.first, s.n) for s in r.spans] for r in language.identified(docs, training).collect()}
+    assert found == {0: [("en", 0, 2), ("ru", 2, 2), ("en", 4, 1)], 1: [("en", 0, 2), ("ru", 2, 4), ("en", 6, 1)],
+                     2: [("ru", 0, 1), ("en", 1, 1), ("el", 2, 1)]}
+
+
+def test_training_sample_holds_its_bound(spark):
+    """Copies count once, and a large language leaves a small one its share."""
+    rows = [("one text that comes again and again", "en")] * 3000 + [(f"text number {i} of many", "en") for i in range(500)]
+    rows += [(f"ein kleiner satz {i}", "de") for i in range(7)] + [(None, "en"), ("no language", None)]
+    table = spark.createDataFrame([(*r, 1, 2) for r in rows], "text string, lang string, h long, rank int").repartition(5)
+    got = [tuple(r) for r in language.training_sample(table, 153).collect()]
+    assert len(got) == len(set(got)) == 153
+    assert sum(lang == "de" for lang, _ in got) == 7
+    assert language.training_sample(table.where("false"), 153).count() == 0
+    assert len(language.learned(table, 20).languages) == 2
+    assert language.learned(table, 20).common == 1
+
+
+def test_only_one_language(spark):
+    training = spark.createDataFrame([("some words here", "en")], "text string, lang string")
+    docs = spark.createDataFrame([(1, "words"), (2, "мир")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identified(docs, training).collect()}
+    assert got == {1: ("en", 1.0), 2: ("en", 0.0)}
