@@ -6,9 +6,10 @@ Equal sets are one node. The product is formed where it can reach the threshold
    and its incidence matrix is multiplied with its transpose: columns of few documents as pairs, full
    ones as dense tiles. What is linked there hangs together from then on.
 2. For all other pairs, the columns are taken rarest first. A linked pair shares one of the first few
-   of both its rows, so the product over these columns gives a partial overlap for each candidate;
-   partial overlaps are summed, and pairs that cannot reach the bound that follows from their sizes
-   are discarded. The rest is counted in full.
+   of both its rows, so the product over these columns gives a partial overlap for each candidate.
+   Pairs that cannot reach the bound that follows from their sizes are discarded: before they are counted,
+   by the parities of their n-grams, a lower bound of how many only one of them has; and by their
+   summed partial overlaps. The rest is counted in full.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, numbered, texts
+from pairmill.llm.common import blobs, blocks, bounded, numbered, texts
 from pairmill.llm.skew import attach, components
 from pairmill.sources.staging import stage
 
@@ -35,6 +36,8 @@ SKETCH, SKETCH_ROW = 1 << 19, 1 << 13
 BLOCK_NODES, BLOCK_GRAMS, GROUP_ROWS = 512, 2_000_000, 1024
 #: Columns of up to so many documents are multiplied as pairs, others as dense tiles of so many cells.
 FEW, TILE = 16, 1 << 22
+#: Words of 64 parity bits of each set.
+PARITY_WORDS = 8
 #: Pairs a task holds before it passes their overlaps on.
 HELD_PAIRS = 500_000
 #: Nodes up to which their numbers are broadcast (8 bytes each).
@@ -118,9 +121,17 @@ def least(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def parities(grams: np.ndarray) -> bytes:
+    """Whether each class of n-grams has an odd number of these. The bits in which two sets differ are at most
+    as many as the n-grams that only one of them has."""
+    odd = np.bincount((grams >> np.uint64(40) & np.uint64(64 * PARITY_WORDS - 1)).astype(np.int64),
+                      minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def described(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """For each document its size, a 128-bit hash of its set, two min-hashes, and ``prefix``: its rarest
-    n-grams, of which each linked document has one among its own rarest."""
+    """For each document its size, a 128-bit hash of its set, two min-hashes, ``parity`` bits, and ``prefix``: its
+    rarest n-grams, of which each linked document has one among its own rarest."""
     order = rows.sparkSession.sparkContext.broadcast(sketch(rows, words))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +140,10 @@ def described(rows: DataFrame, words: int, percent: int) -> DataFrame:
         for block in blocks(batches):
             facts: list[tuple[int, ...]] = []
             prefixes: list[np.ndarray] = []
+            bits: list[bytes] = []
             for text in blobs(block.column("text")):
                 own = shingles(text, words, known)
+                bits.append(parities(own))
                 if not len(own):
                     facts.append((0, 0, 0, 0, 0))
                     prefixes.append(own)
@@ -146,11 +159,11 @@ def described(rows: DataFrame, words: int, percent: int) -> DataFrame:
                 np.concatenate(prefixes).view(np.int64) if prefixes else [], pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [block.column("key"), block.column("doc_id"),
-                 *(pa.array([f[i] for f in facts], pa.int64()) for i in range(5)), prefix],
-                ["key", "doc_id", "size", "hash_a", "hash_b", "min_a", "min_b", "prefix"])
+                 *(pa.array([f[i] for f in facts], pa.int64()) for i in range(5)), pa.array(bits, pa.binary()), prefix],
+                ["key", "doc_id", "size", "hash_a", "hash_b", "min_a", "min_b", "parity", "prefix"])
 
     return rows.mapInArrow(run, "key long, doc_id long, size long, hash_a long, hash_b long, min_a long, "
-                           "min_b long, prefix array<long>")
+                           "min_b long, parity binary, prefix array<long>")
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -275,8 +288,9 @@ def blocks_of(nodes: DataFrame) -> DataFrame:
 
 
 def partial_overlaps(rows: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b``, their sizes and how many of their columns ``rows`` (``key``, ``node``, ``cluster``, ``size``)
-    have in common; not for nodes of one cluster, nor for sizes too far apart."""
+    """``a``, ``b``, their sizes and how many columns they have in common in ``rows`` (``key``, ``node``,
+    ``cluster``, ``size``, ``parity``); not for nodes of one cluster, nor for pairs whose sizes and parities
+    rule out a link."""
     large = stage(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * GROUP_ROWS)
                   .withColumn("parts", F.ceil(F.col("n") / GROUP_ROWS).cast("int")), "large-columns")
     if large.isEmpty():
@@ -290,12 +304,16 @@ def partial_overlaps(rows: DataFrame, percent: int) -> DataFrame:
                  .unionByName(met.where("parts is not null").select(*rows.columns, pair.alias("pair"))))
     names = ["key", "pair", "node", "cluster", "size"]
 
+    def columns(batch: pa.RecordBatch) -> list[np.ndarray]:
+        bits = np.frombuffer(b"".join(batch.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY_WORDS)
+        return [*(batch.column(c).to_numpy() for c in names), bits]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 5
+        held = [np.zeros(0, np.int64)] * 5 + [np.zeros((0, PARITY_WORDS), np.uint64)]
         found: list[np.ndarray] = []
         n = 0
         for batch in batches:
-            held = [np.concatenate([x, batch.column(c).to_numpy()]) for x, c in zip(held, names, strict=True)]
+            held = [np.concatenate(x) for x in zip(held, columns(batch), strict=True)]
             new = np.flatnonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0)) + 1
             if len(new):
                 cut = int(new[-1])
@@ -310,13 +328,13 @@ def partial_overlaps(rows: DataFrame, percent: int) -> DataFrame:
         if found:
             yield _counted(found)
 
-    placed = dealt.select(*names).repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
+    placed = dealt.select(*names, "parity").repartition("key", "pair").sortWithinPartitions("key", "pair", "node")
     return placed.mapInArrow(run, "a long, b long, size_a long, size_b long, n long")
 
 
 def _paired(rows: list[np.ndarray], percent: int) -> np.ndarray:
     """Pairs of rows of one column, smaller node first: nodes and sizes."""
-    key, part, node, cluster, size = rows
+    key, part, node, cluster, size, bits = rows
     first = np.flatnonzero(np.append(True, (np.diff(key) != 0) | (np.diff(part) != 0)))
     ends = np.append(first[1:], len(key))
     last = np.repeat(ends, ends - first)
@@ -327,6 +345,10 @@ def _paired(rows: list[np.ndarray], percent: int) -> np.ndarray:
         low, high = np.minimum(size[at], size[to]), np.maximum(size[at], size[to])
         keep = (cluster[at] != cluster[to]) & (100 * low >= percent * high)
         at, to = at[keep], to[keep]
+        both = size[at] + size[to]
+        apart = both - 2 * -(-percent * both // (100 + percent))  # n-grams that only one has, at most
+        keep = np.bitwise_count(bits[at] ^ bits[to]).sum(1) <= apart
+        at, to = at[keep], to[keep]
         found.append(np.stack([node[at], node[to], size[at], size[to]]))
     return np.concatenate(found, axis=1) if found else np.zeros((4, 0), np.int64)
 
@@ -370,17 +392,20 @@ def near_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFr
     facts = stage(described(rows, words, percent), "ngram-rows")
     alike = stage(facts.where("size > 0").groupBy("hash_a", "hash_b").agg(
         F.min("key").alias("node"), F.min("doc_id").alias("first"), F.count("*").alias("n")), "ngram-nodes")
-    own = facts.join(alike.select(F.col("node").alias("key")), "key", "left_semi").withColumnRenamed("key", "node")
-    nodes = stage(own.select("node", "size", "min_a", "min_b", "prefix"), "ngram-first")
+    first = bounded(alike.select(F.col("node").alias("key")))
+    nodes = stage(facts.join(first, "key", "left_semi").select(F.col("key").alias("node"), "size", "min_a", "min_b"),
+                  "ngram-first")
 
-    member = stage(blocks_of(nodes.select("node", "size", "min_a", "min_b")), "ngram-blocks")
+    member = stage(blocks_of(nodes), "ngram-blocks")
     sets = sets_of(rows, member.select("node").distinct(), words)
     close = stage(block_links(member, sets, percent).distinct(), "block-links")
     joined = components(close).select("node", F.col("root").alias("cluster"))
-
-    columns = nodes.join(joined, "node", "left").select(
-        F.explode("prefix").alias("key"), "node", F.coalesce("cluster", "node").alias("cluster"), "size")
-    columns = stage(_met(columns), "ngram-columns")
+    cluster = stage(nodes.join(joined, "node", "left").select(
+        F.col("node").alias("key"), F.coalesce("cluster", "node").alias("cluster")), "ngram-clusters")
+    columns = stage(_met(facts.join(bounded(cluster), "key").select(
+        F.explode("prefix").alias("column"), F.col("key").alias("node"), "cluster", "size")
+        .withColumnRenamed("column", "key")), "ngram-columns")
+    columns = columns.join(facts.select(F.col("key").alias("node"), "parity"), "node")
     bound = F.greatest(*[F.expr(f"({percent} * {s} + 99) div 100 - 1") for s in ("size_a", "size_b")])
     pairs = (partial_overlaps(columns, percent).groupBy("a", "b")
              .agg(F.max("size_a").alias("size_a"), F.max("size_b").alias("size_b"), F.sum("n").alias("n"))

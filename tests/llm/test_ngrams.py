@@ -105,3 +105,12 @@ def test_pairs_beyond_blocks_are_found(spark, monkeypatch):
     monkeypatch.setattr(ngrams, "block_links", lambda m, s, p: m.sparkSession.createDataFrame([], "a long, b long"))
     rows = [(i, t) for i, t in enumerate(family(80, 7) + family(40, 8, 30))]
     assert got(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_parities_are_a_bound():
+    r = np.random.default_rng(2)
+    for n in (3, 60, 3000):
+        a, b = (np.unique(r.integers(0, 1 << 63, n)).astype(np.uint64) for _ in range(2))
+        b = np.unique(np.concatenate([a[n // 3:], b[:n // 4]]))
+        x, y = (np.frombuffer(ngrams.parities(s), np.uint64) for s in (a, b))
+        assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
