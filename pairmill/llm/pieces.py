@@ -4,28 +4,34 @@ No piece of the vocabulary goes on after a letter with a blank, so a text's latt
 units: blanks with the word behind them. In a unit, forward Viterbi scores are the exact rest costs
 of a backward A* search: the best segmentation comes out first, then the second, and so on. Of a
 text's N best, each differs from the best only in the N - 1 units with the least loss.
+
+The forward pass runs over all new units of a block at once, place by place. Where a model file ranks its
+pieces by merges, it has no probabilities; they are then taken from Zipf's rule, by which the piece of
+rank r has a share in proportion to 1 / r. The model's own encoding by merges is given beside the search's.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pairmill.llm.common import blobs, blocks, texts
+from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
 from pairmill.llm.tokens import tokenizer_path
 
 BLANK = "▁"
 UNIT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 MAX_CACHED_CHARS = 48
+#: Longest unit of the common forward pass; units in one pass; units whose N best a worker remembers.
+MAX_CHARS, PASS_UNITS, HELD_WAYS = 256, 40_000, 50_000
 
 Path = tuple[float, tuple[int, ...]]
 
@@ -33,15 +39,20 @@ Path = tuple[float, tuple[int, ...]]
 class Pieces:
     """The vocabulary of a model file, and searches over it."""
 
-    def __init__(self, path: str, cached: int = 400_000):
+    def __init__(self, path: str, cached: int = 300_000):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.names = [sp.id_to_piece(i) for i in range(n)]
         special = [sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) for i in range(n)]
         self.ids = {p: i for i, p in enumerate(self.names) if not special[i]}
+        given = [sp.get_score(i) for i in range(n)]
+        if all(x == round(x) for x in given):  # ranks of merges
+            whole = math.log(sum(1 / r for r in range(1, n + 1)))
+            given = [-math.log(1 - min(x, 0)) - whole for x in given]
         # Multiples of 2 ** -20, so that sums are exact in any order and equal scores stay equal.
-        self.scores = [round(sp.get_score(i) * (1 << 20)) / (1 << 20) for i in range(n)]
+        self.scores = [round(x * (1 << 20)) / (1 << 20) for x in given]
+        self.library = sp
         if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.ids):
             raise ValueError("a piece goes on after a letter with a blank")
         self.bytes_at = self.names.index("<0x00>")
@@ -53,8 +64,131 @@ class Pieces:
         self.unknown = min(self.scores) - 10
         self.cached = cached
         self.neighbours = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
-        self.units: dict[str, tuple[bytes, float, float, int]] = {}
         self.parts: dict[str, tuple[bytes, float, float, int]] = {}
+        self.known_ways: dict[str, list[Path]] = {}
+        self._trie()
+        self.forget()
+
+    def _trie(self) -> None:
+        """Starts of pieces as numbers: ``steps`` has number of a start and next letter, sorted, and ``to``
+        the longer start; ``piece`` its id, or -1."""
+        number = {"": 0} | {x: i for i, x in enumerate(sorted(self.starts), 1)}
+        own = sorted((number[x[:-1]] << 21 | ord(x[-1]), number[x]) for x in self.starts)
+        self.steps, self.to = (np.array(x, np.int64) for x in zip(*own, strict=True))
+        self.piece = np.full(len(number), -1)
+        for x, i in self.ids.items():
+            self.piece[number[x]] = i
+        self.score_of = np.array(self.scores)
+
+    def forget(self) -> None:
+        """Row 0 of what is known about units stays free."""
+        self.rows: dict[str, int] = {}
+        self.held = 0
+        self.score, self.loss = np.zeros(1), np.zeros(1)
+        #: Ids of the best segmentation, and of the library's, with the place of each unit's first.
+        self.best_ids, self.own_ids = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+        self.best_at, self.own_at = np.zeros(2, np.int64), np.zeros(2, np.int64)
+
+    def learn(self, units: set[str]) -> None:
+        """Search the units that are new."""
+        if len(self.rows) > self.cached or self.held > BLOCK_BYTES:
+            self.forget()
+        if len(self.parts) > self.cached:
+            self.parts.clear()
+        new = list(units - self.rows.keys())
+        for at in range(0, len(new), PASS_UNITS):
+            part = new[at:at + PASS_UNITS]
+            part.sort(key=len)  # those beyond the common pass stand last
+            self.held += sum(map(len, part))
+            cut = next((i for i, u in enumerate(part) if len(u) > MAX_CHARS), len(part))
+            found = [self.forward(part[:cut])] if cut else []
+            for unit in part[cut:]:
+                ids, score, loss, n = self._unit(unit)
+                found.append((np.frombuffer(ids, "<u4"), np.array([n]), np.array([score]), np.array([loss])))
+            # The library puts a blank before each text; one blank alone would be an empty one.
+            own = self.library.encode([u[1:].replace(BLANK, " ") for u in part], num_threads=1)
+            own = [ids if u != BLANK else [self.ids[BLANK]] for u, ids in zip(part, own, strict=True)]
+            self.rows.update(zip(part, range(len(self.score), len(self.score) + len(part)), strict=True))
+            self.score = np.concatenate([self.score, *(f[2] for f in found)])
+            self.loss = np.concatenate([self.loss, *(f[3] for f in found)])
+            self.best_ids = np.concatenate([self.best_ids, *(f[0] for f in found)])
+            sizes = np.concatenate([f[1] for f in found])
+            self.best_at = np.append(self.best_at, self.best_at[-1] + np.cumsum(sizes))
+            flat = np.fromiter(chain.from_iterable(own), np.uint32)
+            self.own_ids = np.concatenate([self.own_ids, flat])
+            self.own_at = np.append(self.own_at, self.own_at[-1] + np.cumsum([len(ids) for ids in own]))
+
+    def forward(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each unit the ids of the best segmentation (all in one array), their number, the score and
+        the loss of the second best. All units advance together, by places from their starts.
+
+        Forward scores are exact, so the second best way leaves the best one at the place of it where
+        the best two ways in lie closest. Of equal scores the longest piece counts, as in ``n_best``.
+        """
+        letters = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32).astype(np.int64)
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        unit = np.repeat(np.arange(len(units)), size)
+        end = np.cumsum(size)[unit]
+        # Edges of the lattice: start, letters and id, walking the trie from all places at once.
+        at, state = np.arange(len(letters)), np.zeros(len(letters), np.int64)
+        edges, alone = [], np.ones(len(letters), bool)
+        for n in range(1, self.longest + 1):
+            inside = at + n <= end[at]
+            at, state = at[inside], state[inside]
+            key = state << 21 | letters[at + n - 1]
+            found = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            hit = self.steps[found] == key
+            at, state = at[hit], self.to[found[hit]]
+            if not len(at):
+                break
+            ids = self.piece[state]
+            full = ids >= 0
+            edges.append((at[full], np.full(int(full.sum()), n), ids[full]))
+            if n == 1:
+                alone[at[full]] = False
+        alone = np.flatnonzero(alone)
+        edges.append((alone, np.ones(len(alone), np.int64), np.full(len(alone), -1)))
+        start, n, ids = (np.concatenate(x) for x in zip(*edges, strict=True))
+        gain = np.where(ids >= 0, self.score_of[ids], self.unknown)
+        place = start + n - (end - size[unit])[start]  # from the unit's start
+        source, target = start + unit[start], start + n + unit[start]  # a unit has one node more than letters
+        order = np.lexsort((start, target, place))
+        place, source, target, gain, ids, start = (x[order] for x in (place, source, target, gain, ids, start))
+        nodes = len(letters) + len(units)
+        best, second, back = np.full(nodes, -np.inf), np.full(nodes, -np.inf), np.zeros(nodes, np.int64)
+        first = np.cumsum(size + 1) - size - 1
+        best[first] = 0
+        edge = np.searchsorted(place, np.arange(1, int(size.max()) + 2))
+        for a, b in pairwise(edge.tolist()):
+            value, to = best[source[a:b]] + gain[a:b], target[a:b]
+            new = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+            group = np.repeat(np.arange(len(new)), np.diff(np.append(new, b - a)))
+            top = np.maximum.reduceat(value, new)
+            which = np.flatnonzero(value == top[group])
+            which = which[np.append(True, group[which[1:]] != group[which[:-1]])]
+            best[to[new]], back[to[new]] = top, a + which
+            value[which] = -np.inf
+            second[to[new]] = np.maximum.reduceat(value, new)
+        # Back along the best ways, all units at once.
+        here, loss = first + size, np.full(len(units), np.inf)
+        steps, active = [], np.arange(len(units))
+        while len(active):
+            own = here[active]
+            loss[active] = np.minimum(loss[active], best[own] - second[own])
+            steps.append((active, back[own]))
+            here[active] = source[back[own]]
+            active = active[here[active] > first[active]]
+        owner, taken = (np.concatenate(x[::-1]) for x in zip(*steps, strict=True))
+        order = np.argsort(owner, kind="stable")
+        owner, taken = owner[order], taken[order]
+        out, unknown = ids[taken], np.flatnonzero(ids[taken] < 0)
+        if len(unknown):  # spelt in bytes
+            spelt = [chr(c).encode() for c in letters[start[taken[unknown]]].tolist()]
+            width = np.ones(len(out), np.int64)
+            width[unknown] = list(map(len, spelt))
+            out, owner = np.repeat(out, width), np.repeat(owner, width)
+            out[out < 0] = self.bytes_at + np.frombuffer(b"".join(spelt), np.uint8).astype(np.int64)
+        return (out.astype(np.uint32), np.bincount(owner, minlength=len(units)), best[first + size], loss)
 
     def lattice(self, unit: str) -> tuple[list[float], list[list[tuple[int, float, tuple[int, ...]]]]]:
         """Best score up to each place, and the pieces that end there. A character that no piece
@@ -154,37 +288,35 @@ class Pieces:
         ids, scores, losses, sizes = zip(*found)
         return b"".join(ids), sum(scores), min(losses), sum(sizes)
 
-    def text(self, text: str, n: int) -> tuple[bytes, list[float], list[list[tuple[int, tuple[int, ...]]]]]:
+    def text(self, text: str, n: int) -> tuple[bytes, list[float], list[list[tuple[int, tuple[int, ...]]]], bytes]:
         """Ids of the best segmentation of a text, the scores of its n best, and how each of them differs:
-        numbers of units and their ids."""
-        units = UNIT.findall(BLANK + text.replace(" ", BLANK)) if text else []
-        if len(self.units) > self.cached:
-            self.units.clear()
-        if len(self.parts) > self.cached:
-            self.parts.clear()
-        own = list(map(self.units.get, units))
-        long: dict[str, tuple[bytes, float, float, int]] = {}
-        for k, got in enumerate(own):
-            if got is None:
-                u = units[k]
-                got = self.units.get(u) or long.get(u)
-                if got is None:
-                    got = self._unit(u)
-                    (self.units if len(u) <= MAX_CACHED_CHARS else long)[u] = got
-                own[k] = got
-        ids, scores, loss, _ = zip(*own) if own else ((), (), (), ())
-        total, losses = float(sum(scores)), np.array(loss)
-        near = np.argsort(losses, kind="stable")[:n - 1]
+        numbers of units and their ids; and the ids of the library's encoding."""
+        units = units_of(text)
+        self.learn(set(units))
+        return self.combined(units, n)
+
+    def combined(self, units: list[str], n: int) -> tuple[bytes, list[float], list[list[tuple[int, tuple[int, ...]]]], bytes]:
+        """``text`` of units that are known."""
+        rows = np.fromiter(map(self.rows.__getitem__, units), np.int64, len(units))
+        loss = self.loss[rows]
+        near = np.argsort(loss, kind="stable")[:n - 1]
         choices = []
         for i in sorted(near.tolist()):
-            if losses[i] < np.inf:
+            if loss[i] < np.inf:
                 ways = self._ways(units[i], n)
                 choices.append((i, [(score - ways[0][0], ids) for score, ids in ways]))
-        return b"".join(ids), *_combined(total, choices, n)
+        return (gathered(self.best_ids, self.best_at, rows), *_combined(float(self.score[rows].sum()), choices, n),
+                gathered(self.own_ids, self.own_at, rows))
 
-    @lru_cache(maxsize=2_000)  # noqa: B019  (one object per worker and file)
     def _ways(self, unit: str, n: int) -> list[Path]:
-        return self.n_best(unit, n)
+        found = self.known_ways.get(unit)
+        if found is None or len(found) < n:
+            found = self.n_best(unit, n)
+            if len(unit) <= MAX_CACHED_CHARS:
+                if len(self.known_ways) >= HELD_WAYS:
+                    self.known_ways.clear()
+                self.known_ways[unit] = found
+        return found[:n]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: bytes join to characters, blanks become spaces, the first is dropped."""
@@ -192,6 +324,17 @@ class Pieces:
         return out.decode(errors="replace").replace(BLANK, " ")[1:]
 
 
+def units_of(text: str) -> list[str]:
+    return UNIT.findall(BLANK + text.replace(" ", BLANK)) if text else []
+
+
+def gathered(ids: np.ndarray, at: np.ndarray, rows: np.ndarray) -> bytes:
+    """The ids of the units in ``rows``, one after another, as little-endian bytes."""
+    first, size = at[rows], at[rows + 1] - at[rows]
+    place = np.arange(int(size.sum())) + np.repeat(first - np.cumsum(size) + size, size)
+    return ids[place].astype("<u4").tobytes()
+
+
 def _combined(total: float, choices: list, n: int) -> tuple[list[float], list]:
     """N best sums of one choice per unit, the best of each being a loss of nothing."""
     best = [(0.0, [])]
@@ -217,28 +360,33 @@ def segmented(docs: DataFrame, model: str | None = None, n: int = 4, with_ids: b
     ``n_pieces`` and ``ids_crc32`` (of little-endian unsigned 32-bit ids) are of the best; ``scores`` has
     the scores of all, best first (fewer where there are fewer); ``changed`` the units (from 0) in
     which each differs from the best; ``round_trip`` tells whether the best decodes to the text (a
-    text that has the blank sign itself does not). A null or empty text has no pieces and one
+    text that has the blank sign itself does not). ``own_pieces`` and ``own_crc32`` are of the library's
+    encoding by the model's own rules. A null or empty text has no pieces and one
     segmentation of score 0. ``docs`` needs ``doc_id`` and ``text``; other columns are not read. Equal
-    texts fare alike; an empty table gives no rows. ``with_ids`` adds the best's ids.
+    texts fare alike; an empty table gives no rows. ``with_ids`` adds the ids of both.
     """
     path = model or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = pieces(path)
         for block in blocks(batches):
+            given = [data.decode() for data in blobs(block.column("text"))]
+            units = [units_of(t) for t in given]
+            vocabulary.learn(set().union(*units))
             rows = []
-            for key, data in zip(block.column("doc_id").to_pylist(), blobs(block.column("text")), strict=True):
-                text = data.decode()
-                ids, scores, changed = vocabulary.text(text, n)
+            for key, text, parts in zip(block.column("doc_id").to_pylist(), given, units, strict=True):
+                ids, scores, changed, own = vocabulary.combined(parts, n)
                 back = vocabulary.decode(np.frombuffer(ids, "<u4").tolist()) if text else ""
-                rows.append((key, len(ids) // 4, zlib.crc32(ids), scores,
-                             [[u for u, _ in c] for c in changed], back == text, ids))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()),
-                     pa.list_(pa.list_(pa.int64())), pa.bool_(), pa.binary())
-            names = ["doc_id", "n_pieces", "ids_crc32", "scores", "changed", "round_trip", "ids"]
-            k = 7 if with_ids else 6
+                rows.append((key, len(ids) // 4, zlib.crc32(ids), scores, [[u for u, _ in c] for c in changed],
+                             back == text, len(own) // 4, zlib.crc32(own), ids, own))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.list_(pa.int64())),
+                     pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            names = ["doc_id", "n_pieces", "ids_crc32", "scores", "changed", "round_trip", "own_pieces", "own_crc32",
+                     "ids", "own_ids"]
+            k = 10 if with_ids else 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in list(zip(zip(*rows), kinds))[:k]],
                                              names[:k])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, scores array<double>, "
-                                       "changed array<array<long>>, round_trip boolean" + ", ids binary" * with_ids)
+                                       "changed array<array<long>>, round_trip boolean, own_pieces long, own_crc32 long"
+                                       + ", ids binary, own_ids binary" * with_ids)

@@ -149,7 +149,8 @@ def test_n_best(vocabulary, unit):
 
 def test_segmented_text(vocabulary):
     text = "in ab of it"
-    ids, scores, changed = vocabulary.text(text, 5)
+    ids, scores, changed, own = vocabulary.text(text, 5)
+    assert np.frombuffer(own, "<u4").tolist() == vocabulary.library.encode(text)
     want = sorted((s for s, _ in brute_segmentations(vocabulary, "▁" + text.replace(" ", "▁"))), reverse=True)
     assert scores == want[:5] and changed[0] == []
     assert vocabulary.decode(np.frombuffer(ids, "<u4").tolist()) == text
@@ -170,6 +171,30 @@ def test_parts_of_a_unit(vocabulary, unit):
     assert (total, loss, n) == (score, score - second, len(ids)) and own == np.array(ids, "<u4").tobytes()
 
 
+def test_forward_pass_of_many_units(vocabulary):
+    """The common pass gives what the search gives unit by unit."""
+    r = random.Random(11)
+    units = ["▁" * r.randint(0, 2) + "".join(r.choice("aeinrstlhd,.é日\n\U0001f600$") for _ in range(r.randint(1, 14)))
+             for _ in range(400)] + ["▁river,", "x", "▁", "▁▁▁"]
+    ids, sizes, scores, losses = vocabulary.forward(units)
+    ends = np.cumsum(sizes)
+    for unit, end, n, score, loss in zip(units, ends, sizes, scores, losses, strict=True):
+        ways = vocabulary.n_best(unit, 2)
+        assert (score, tuple(ids[end - n:end])) == ways[0]
+        assert loss == (ways[0][0] - ways[1][0] if len(ways) > 1 else np.inf)
+
+
+def test_library_and_number_of_pieces(vocabulary, texts_of, sample, monkeypatch):
+    """The own rules' ids are the library's; the search takes one piece in fifty more at most."""
+    monkeypatch.setattr(vocabulary, "cached", 300)
+    texts = [t for _, t in texts_of] + [r.text or "" for r in sample.collect()]
+    found = [vocabulary.text(t, 2) for t in texts]
+    assert [np.frombuffer(own, "<u4").tolist() for *_, own in found] == [vocabulary.library.encode(t) for t in texts]
+    assert sum(len(ids) for ids, *_ in found) <= 1.02 * sum(len(own) for *_, own in found)
+    the = "".join(vocabulary.names[i] + " " for i in np.frombuffer(vocabulary.text("the river", 1)[0], "<u4"))
+    assert the == "▁the ▁river "
+
+
 def test_unit_of_one_repeated_letter(vocabulary):
     got = vocabulary.n_best("a" * 20_001, 3)
     assert len({p for _, p in got}) == 3 and got[0][0] >= got[1][0] >= got[2][0]
