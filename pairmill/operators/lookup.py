@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from pairmill.settings import Settings
@@ -19,39 +19,52 @@ def fits(dictionary: DataFrame, rows: int, nbytes: int) -> bool:
     return size["rows"] <= rows and (size["bytes"] or 0) <= nbytes
 
 
-#: An entry beyond this stays out of the broadcast of hot keys, so that their number bounds its size.
-HOT_ROW_BYTES = 16 << 10
+#: Keys that the sketch of frequent keys tracks, and most copies of a dictionary row.
+SKETCH_KEYS, MOST_COPIES = 10_000, 1_000
 
 
-def hot_keys(df: DataFrame, key: str, settings: Settings = Settings()) -> DataFrame:
-    """The most frequent keys of ``df``: at most ``hot_keys`` rows."""
-    return (df.groupBy(key).agg(F.count("*").alias("_rows"))
-            .where((F.col("_rows") >= settings.hot_min_rows)
-                   & (F.octet_length(F.col(key).cast("string")) <= HOT_ROW_BYTES))
-            .orderBy(F.desc("_rows"), F.asc(key)).limit(settings.hot_keys).select(key))
+def staged_with_hot_keys(df: DataFrame, key: str, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """``df`` written once, and its frequent keys as (``_hash``, ``_copies``): ``hot_keys`` rows at most.
+
+    A sketch of the keys' hashes is filled while the rows are written, so ``df`` runs once. Its counts are
+    estimates; they decide where rows go, never what they meet.
+    """
+    seen = Observation("hot-keys")
+    top = F.expr(f"approx_top_k(xxhash64(`{key}`), {settings.hot_keys}, {max(SKETCH_KEYS, settings.hot_keys)})")
+    rows = stage(df.observe(seen, top.alias("top")), "lookup")
+    hot = [(r["item"], min(MOST_COPIES, 1 + r["count"] // settings.hot_min_rows)) for r in seen.get["top"] or ()
+           if r["count"] >= settings.hot_min_rows]
+    return rows, df.sparkSession.createDataFrame(hot, "_hash bigint, _copies int")
 
 
 def lookup(df: DataFrame, dictionary: DataFrame, key: str, settings: Settings = Settings(),
            spread_keys: bool = False) -> DataFrame:
     """Left join ``df`` to a dictionary with one row per ``key``.
 
-    A dictionary of checked size is broadcast. For a larger one the rows of hot
-    keys are answered from a broadcast of those few keys, known to the
-    dictionary or not, so they never meet in one task; the rest is an ordinary
-    join. ``spread_keys`` says that ``df`` repeats no key often, for instance
-    after an aggregation by it, and skips the hot part.
+    A dictionary of checked size is broadcast. For a larger one ``df`` is written once, and its
+    frequent keys, known to the dictionary or not, are told by a sketch in the same pass. The rows of such a key
+    get numbers by turns, its dictionary row is copied for each number, and key and number are joined
+    together: no key's rows meet in one task, and both sides are read once. ``spread_keys`` says that
+    ``df`` repeats no key often, for instance after an aggregation by it, and skips all that.
     """
     if fits(dictionary, settings.broadcast_rows, settings.broadcast_bytes):
         return df.join(F.broadcast(dictionary), key, "left")
     if spread_keys:
         return df.join(dictionary, key, "left")
+    rows, hot = staged_with_hot_keys(df, key, settings)
+    if hot.isEmpty():
+        return rows.join(dictionary, key, "left")
+
+    def marked(side: DataFrame) -> DataFrame:
+        return (side.withColumn("_hash", F.xxhash64(key)).join(F.broadcast(hot), "_hash", "left")
+                .withColumn("_copies", F.coalesce("_copies", F.lit(1))))
+
+    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_copies")).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
     values = [c for c in dictionary.columns if c != key]
-    hot = hot_keys(df, key, settings).join(dictionary, key, "left")
-    hot = stage(hot.where(_row_bytes(hot) <= HOT_ROW_BYTES).withColumn("_hot", F.lit(True)), "hot")
-    first = df.join(F.broadcast(hot), key, "left")
-    done = first.where(F.col("_hot")).drop("_hot")
-    rest = first.where(F.col("_hot").isNull()).drop("_hot", *values)
-    return done.unionByName(rest.join(dictionary, key, "left"))
+    return (marked(rows).withColumn("_turn", turn)
+            .join(marked(dictionary).withColumn("_turn", copies).drop("_hash", "_copies"), [key, "_turn"], "left")
+            .select(key, *[c for c in df.columns if c != key], *values))
 
 
 def ranked(df: DataFrame, order: list[Column], name: str = "rank",

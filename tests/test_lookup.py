@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from pairmill.operators.lookup import fits, lookup, ranked
+from pairmill.operators.lookup import fits, lookup, ranked, staged_with_hot_keys
 from pairmill.operators.vocab import build_vocab, decode, encode, oov_ratio
 from pairmill.settings import Settings
 from pairmill.sources.staging import stage
@@ -38,9 +38,32 @@ def test_lookup_paths_agree(skewed, dictionary, settings, spread):
     assert got.count() == 3000
 
 
-def test_hot_rows_are_not_shuffled_by_key(skewed, dictionary):
-    plan = lookup(skewed, dictionary, "token", HOT)._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan
+def test_hot_keys_are_spread_and_the_input_runs_once(spark, skewed, dictionary):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = skewed.mapInArrow(counted, skewed.schema)
+    out = lookup(rows, dictionary, "token", HOT)
+    assert out.count() == 3000 and out.where("token = 'hot' and id = 1").count() == 1000
+    assert seen.value == 3000  # one evaluation for several results
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan.replace("Generate explode(sequence(0", "") and "_turn" in plan
+
+
+@pytest.mark.parametrize("column", ["bigint", "string"])
+def test_sketch_finds_frequent_keys(spark, column):
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 == 0, 7).when(F.col("id") % 4 == 1, None)
+                                    .otherwise(F.col("id")).cast(column).alias("k"), F.lit(1).alias("_copies2"))
+    rows, hot = staged_with_hot_keys(df, "k", replace(HOT, hot_min_rows=1000, hot_keys=5))
+    assert rows.count() == 20_000
+    copies = {r._hash: r._copies for r in hot.collect()}
+    seven = spark.range(1).select(F.xxhash64(F.lit(7).cast(column))).first()[0]
+    assert copies[seven] == 6 and len(copies) == 2  # the other is null
+    assert staged_with_hot_keys(df.where("false"), "k", HOT)[1].count() == 0
 
 
 def test_payload_counts_for_the_broadcast(spark):
