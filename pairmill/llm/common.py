@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -55,6 +55,18 @@ def texts(docs: DataFrame, *more: Column) -> DataFrame:
                               F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")))
 
 
+_remembered: dict[object, object] = {}
+
+
+def remembered(name: object, make: Callable[[], object]) -> object:
+    """What a worker process keeps from task to task, for one operator at a time: asking for another's drops
+    it, as workers serve all stages of a job and their memories would add up."""
+    if name not in _remembered:
+        _remembered.clear()
+        _remembered[name] = make()
+    return _remembered[name]
+
+
 def blobs(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()

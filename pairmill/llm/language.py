@@ -12,11 +12,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
+from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, remembered, texts
 from pairmill.sources.staging import spread
 
 GRAM_BITS = 14
 STEP_PIECES = 20_000
+#: Bytes of text that are labelled at once.
+TEXT_BYTES = 4 << 20
 #: Score of a language that is no candidate.
 NEVER = -1e9
 #: Letters that are scored together; what is longer gives several chunks.
@@ -308,8 +310,9 @@ def of_one_language(docs: DataFrame, training: DataFrame, least_share: float = 0
 def _labels(model: Model, penalty: float, cap: float):
     """Blocks of rows, and language, score and spans of each row's text."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+        remembered("language", dict)  # drops what other operators left in the worker
         words = Words(model, cap)
-        for block in blocks(batches):
+        for block in blocks(batches, limit=TEXT_BYTES):
             if max(len(words), words.used) > 300_000 or words.held > BLOCK_BYTES:
                 words.reset()
             pieces = [t.split() for t in blobs(block.column("text"))]

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, texts
+from pairmill.llm.common import BLOCK_BYTES, blobs, blocks, remembered, texts
 from pairmill.llm.tokens import tokenizer_path
 
 BLANK = "▁"
@@ -345,13 +345,8 @@ def _combined(total: float, choices: list, n: int) -> tuple[list[float], list]:
     return [total - loss for loss, _ in best], [taken for _, taken in best]
 
 
-_loaded: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
-    if path not in _loaded:
-        _loaded[path] = Pieces(path)
-    return _loaded[path]
+    return remembered(("pieces", path), lambda: Pieces(path))
 
 
 def segmented(docs: DataFrame, model: str | None = None, n: int = 4, with_ids: bool = False) -> DataFrame:

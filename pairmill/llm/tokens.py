@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 
+from pairmill.llm.common import remembered
+
 MAX_CACHED_BYTES = 48
 MARKS = b".,!?;:#*$%&()"
 
@@ -99,11 +101,6 @@ def _byte_letters() -> list[str]:
 
 
 BYTE_LETTERS = _byte_letters()
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    return remembered(("encoder", path), lambda: Encoder(path))
