@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
 from pairmill.catalog.dictionaries import LEXICON, TRAIN_TOKENS, train_lines
-from pairmill.catalog.inputs import dialogues, joined, prepared_lines, table
+from pairmill.catalog.inputs import SUPPORT_SQL, dialogues, joined, prepared_lines, table, texts
 from pairmill.catalog.registry import query
 from pairmill.catalog.scores import MODEL
-from pairmill.catalog.texts import render_sql
+from pairmill.catalog.texts import INVERSE, render_sql
 from pairmill.functions import fixed, text
 from pairmill.functions.basics import compute_once
-from pairmill.operators import gate, hypotheses, lm, vocab
+from pairmill.operators import gate, hypotheses, lm, slots, vocab
 from pairmill.plans.answer import answer_batch, batch_summary
-from pairmill.plans.prepare import clean_pairs, tokenised_pairs
+from pairmill.plans.prepare import clean_pairs, tokenised_pairs, usable_pairs
 from pairmill.settings import Settings
 from pairmill.sources.staging import stage
 
@@ -168,6 +168,25 @@ def scope_predicate(spark, sf):
         "doc_id", gate.in_scope(oov, logprob, settings).alias("in_scope"))
 
 
+CUTOFF = """,
+vq as (select row_id, avg(lp) as m from lpr where split = 'valid' group by 1),
+vr as (select m, row_number() over (order by m) as place, ceil(0.05 * count(*) over ()) as wanted from vq),
+cut as materialized (select round(m, 6) as c from vr where place = greatest(wanted, 1))"""
+
+
+def cutoff(prep, model):
+    """The gate's bound from the replies of the validation split."""
+    valid = stage(lm.mean_reply_logprob(prep.where("split = 'valid'"), model), "valid-scores")
+    return gate.logprob_cutoff(valid, exact=True)
+
+
+@query(MODEL + CUTOFF + " select c as min_logprob from cut")
+def logprob_cutoff(spark, sf):
+    prep = stage(prepared_lines(spark, sf), "prepared")
+    found = cutoff(prep, lm.train_reply_model(prep.where("split = 'train'")))
+    return spark.createDataFrame([(found,)], "min_logprob double")
+
+
 def answered(spark, sf, limit=None):
     """Dialogue queries answered with candidates: the own reply and the own
     query echoed, both scored by the reply model of the training lines."""
@@ -188,7 +207,7 @@ def answered(spark, sf, limit=None):
         F.col("row_id").alias("query_id"), F.lit("beam").alias("strategy"), "hyp_id",
         "token_ids", "logprob_sum", "len"), "hypotheses")
     queries = dialogues(spark, sf).select(F.col("row_id").alias("query_id"), "query")
-    settings = Settings(min_logprob=-9.0)
+    settings = Settings(min_logprob=cutoff(prep, model))
     return answer_batch(queries, candidates, lexicon, words, settings=settings, limit=limit)
 
 
@@ -197,7 +216,7 @@ def _tail(ctes: str) -> str:
     return ctes[len(q.PREPARED_LINES):]
 
 
-_ANSWERS_SQL = LEXICON + _tail(TRAIN_TOKENS) + _tail(MODEL) + f""",
+_ANSWERS_SQL = LEXICON + _tail(TRAIN_TOKENS) + _tail(MODEL) + CUTOFF + f""",
 {q.DIALOGUES},
 dq as materialized (select row_id, query, {q.query_tokens(q.clean('query', True))} as qt,
   {q.truncate(q.tokens(q.clean('response')))} as rt from dp),
@@ -221,9 +240,9 @@ g1 as (select *, list_filter(cw, lambda w: not list_contains(known, w)) as unkno
 g2 as (select *, case when len(cw) > 0 then len(unknown) / len(cw)
    when len(list_filter(qt, lambda w: starts_with(w, '<ph_'))) > 0 then 0.0 else 1.0 end as oov from g1),
 aw as materialized (select row_id as query_id, query,
-  case when len(qt) > 0 and oov <= 0.5 and logprob >= -9.0 then {render_sql('raw')}
+  case when len(qt) > 0 and oov <= 0.5 and logprob >= c then {render_sql('raw')}
    else {q.lit(fixed.REFUSAL)} end as response,
-  {_VERDICT.replace('-1.5', '-9.0')}, {_REASON.replace('-1.5', '-9.0')} from g2)"""
+  {_VERDICT.replace('-1.5', 'c')}, {_REASON.replace('-1.5', 'c')} from g2, cut)"""
 
 
 @query(_ANSWERS_SQL + """ select query_id, query, response, in_scope, oov_ratio, n_anchors, avg_logprob, reason
@@ -243,3 +262,54 @@ def answer_summary(spark, sf):
 @query(_ANSWERS_SQL + " select query_id, in_scope, reason from aw order by query_id limit 100")
 def answers_with_row_limit(spark, sf):
     return answered(spark, sf, limit=100).select("query_id", "in_scope", "reason")
+
+
+_BRAND = "case when p_partkey % 3 = 0 then upper(p_brand) else p_brand end"
+_PART_COLUMNS = [
+    ("p_partkey", "row_id"), ("p_type", "category"), ("p_brand", "intent"),
+    (f"concat('How do I return {{{{ ', {_BRAND}, ' }}}} of type {{{{', p_type, '}}}}, the ', p_name, '?')", "query"),
+    (f"concat('Your {{{{', p_type, '}}}} by {{{{ ', {_BRAND}, ' }}}} left today. We said \"', p_name,"
+     " '\" is fine, {{Size ', p_size, '}} too.')", "response")]
+PART_SQL = "select {} from part".format(", ".join(f"{e} as {n}" for e, n in _PART_COLUMNS))
+#: Parts told as support messages: all of them training rows, with their own slots.
+_PART_ANSWERS = q.CLEANED_SUPPORT.replace(SUPPORT_SQL, PART_SQL) + INVERSE + f""",
+prep as materialized (select row_id, string_split(query_clean, ' ') as query_tokens,
+  {q.tokens('response_clean')} as response_tokens, 'train' as split from cl)
+""" + _tail(LEXICON) + _tail(TRAIN_TOKENS) + f""",
+vl as (select list(token) as vocabulary from vo),
+kn as (select list(token) filter (where known) as known,
+  list(token) filter (where anchor_rank is not null) as anchors from lx),
+g0 as (select row_id, query, query_tokens as qt, -0.01 * len(response_tokens) as logprob,
+  list_transform(response_tokens[1:119], lambda t: case when list_contains(vocabulary, t) then t else '<unk>' end) as raw,
+  {q.content('query_tokens')} as cw from prep join us using (row_id), vl),
+g1 as (select *, list_filter(cw, lambda w: not list_contains(known, w)) as unknown,
+   cast(len(list_filter(cw, lambda w: list_contains(anchors, w))) as integer) as n_anchors from g0, kn),
+g2 as (select *, case when len(cw) > 0 then len(unknown) / len(cw)
+   when len(list_filter(qt, lambda w: starts_with(w, '<ph_'))) > 0 then 0.0 else 1.0 end as oov from g1)
+select row_id as query_id, query, array_to_string(qt, ' ') as query_tokens,
+  case when oov <= 0.5 and logprob >= -1.5 then {render_sql('raw', 'im')}
+   else {q.lit(fixed.REFUSAL)} end as response, {_REASON} from g2, iv"""
+
+
+def slot_answers(spark, sf, settings=Settings()):
+    """Queries and replies with template slots, answered by way of a learned slot table."""
+    rows = texts(spark, sf, "part").selectExpr(*[f"{e} as {n}" for e, n in _PART_COLUMNS])
+    usable = usable_pairs(rows)
+    mapping = stage(slots.slot_map(usable, ["query", "response"]), "slots")
+    train = stage(compute_once(clean_pairs(usable, mapping, settings), query_tokens=F.split("query_clean", " ", -1),
+                               response_tokens=text.tokenize(F.col("response_clean"))), "slot-pairs")
+    words = stage(vocab.build_vocab(train, ["query_tokens", "response_tokens"]), "vocab")
+    lexicon = stage(gate.scope_lexicon(train), "lexicon")
+    ids = vocab.encode(train, "response_tokens", words, 120, add_sos=False, out="token_ids", settings=settings)
+    length = F.size("response_tokens")
+    candidates = stage(ids.select(
+        F.col("row_id").alias("query_id"), F.lit("beam").alias("strategy"), F.lit(1).alias("hyp_id"), "token_ids",
+        (F.lit(-0.01) * length * length).alias("logprob_sum"), length.alias("len")), "hypotheses")
+    queries = usable.select(F.col("row_id").alias("query_id"), "query")
+    return answer_batch(queries, candidates, lexicon, words, mapping, settings=settings)
+
+
+@query(_PART_ANSWERS)
+def answers_with_slots(spark, sf):
+    return slot_answers(spark, sf).select("query_id", "query", joined("query_tokens").alias("query_tokens"),
+                                          "response", "reason")

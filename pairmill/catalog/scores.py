@@ -125,9 +125,19 @@ def rouge_n(spark, sf):
         "strategy", F.round("rouge1", 6).alias("rouge1"), F.round("rouge2", 6).alias("rouge2"))
 
 
-@query()
+@query(_ALIGNED.replace("with lp", "with recursive lp", 1) + """,
+tk as materialized (select row_id, strategy,
+  list_filter(regexp_split_to_array(lower(hyp), '[^a-z0-9]+'), lambda w: w <> '') as ha,
+  list_filter(regexp_split_to_array(lower(ref), '[^a-z0-9]+'), lambda w: w <> '') as ra from al),
+lc as (select row_id, 0 as i, list_transform(ra, lambda w: 0) as l from tk
+ union all select lc.row_id, i + 1, list_transform(step, lambda x, j: list_max(step[1:j])) from (
+   select lc.row_id, i, list_transform(l, lambda x, j: case when ha[i + 1] = ra[j]
+     then case when j > 1 then l[j - 1] else 0 end + 1 else x end) as step
+   from lc join tk using (row_id) where i < len(ha)) lc)
+select strategy, round(avg(case when len(l) > 0 and len(ha) > 0 then 2.0 * l[-1] / (len(ha) + len(ra)) else 0.0 end), 6)
+  as "rougeL" from tk join lc using (row_id) where i = len(ha) group by 1""")
 def rouge_l(spark, sf):
-    """Longest common subsequences of whole texts; no SQL form."""
+    """Longest common subsequences of whole texts."""
     return metrics.rouge_l(aligned(spark, sf)).groupBy("strategy").agg(
         F.round(F.avg("rougeL"), 6).alias("rougeL"))
 

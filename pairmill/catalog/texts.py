@@ -131,12 +131,15 @@ def reply_prefixes(spark, sf):
     return counted.select("reply", "n", text.prefix(F.col("reply")).alias("shown"))
 
 
-def render_sql(toks: str) -> str:
-    """Spacing rules as a list expression; quotes by their ordinal number."""
+def render_sql(toks: str, names: str | None = None) -> str:
+    """Spacing rules as a list expression; quotes by their ordinal number. ``names`` is a map of slots to
+    raw names."""
     surfaces = ", ".join(f"{q.lit(k)}: {q.lit(v)}" for k, v in fixed.SURFACES.items())
     titled = ("'{{' || array_to_string(list_transform(regexp_extract_all(replace(tk[5:-2], '_', ' '), "
               "'[^a-z]*[a-z]+|[^a-z]+'), lambda ti: regexp_extract(ti, '^[^a-z]*') || "
               "upper(regexp_extract(ti, '[a-z]')) || regexp_extract(ti, '[a-z]([a-z]*)', 1)), '') || '}}'")
+    if names:
+        titled = f"coalesce('{{{{' || {names}[tk] || '}}}}', {titled})"
     surface = (f"coalesce(map {{{surfaces}}}[tk], case when starts_with(tk, '<ph_') and "
                f"ends_with(tk, '>') then {titled} else tk end)")
     words = (f"list_filter(list_transform({toks}, lambda tk: {surface}), lambda sw: sw <> '')")
@@ -170,14 +173,21 @@ def render_sql(toks: str) -> str:
                  "else fin || '.' end")
 
 
-@query(q.CLEANED_SUPPORT + f", tk as (select row_id, {q.tokens('response_clean')} as toks, "
+#: Raw names of slots, by the learned map.
+INVERSE = """, iv as (select map(list(slot), list(raw)) as im from (select * from sm
+   where slot <> '<ph_details>' qualify row_number() over (partition by slot order by n desc, raw) = 1))"""
+
+
+@query(q.CLEANED_SUPPORT + INVERSE + f", tk as (select row_id, {q.tokens('response_clean')} as toks, "
        "string_split(query_clean, ' ') as qt from cl) "
-       f"select row_id, {render_sql('qt')} as query_text, {render_sql('toks')} as reply_text from tk")
+       f"select row_id, {render_sql('qt', 'im')} as query_text, {render_sql('toks', 'im')} as reply_text from tk, iv")
 def render_support(spark, sf):
-    toks = compute_once(_cleaned_support(spark, sf), qt=F.split("query_clean", " ", -1),
+    usable = usable_pairs(support_rows(spark, sf))
+    mapping = stage(slots.slot_map(usable, ["query", "response"]), "slots")
+    toks = compute_once(clean_pairs(usable, mapping), qt=F.split("query_clean", " ", -1),
                         rt=text.tokenize(F.col("response_clean")))
-    return toks.select("row_id", render(F.col("qt")).alias("query_text"),
-                       render(F.col("rt")).alias("reply_text"))
+    shown = slots.render_df(toks, {"qt": "query_text", "rt": "reply_text"}, mapping)
+    return shown.select("row_id", "query_text", "reply_text")
 
 
 @query(f"select doc_id, {render_sql(q.tokens('lower(text)'))} as reply from documents")

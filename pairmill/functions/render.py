@@ -2,7 +2,7 @@
 
 The spacing of a word depends only on its neighbours and on whether a quote is
 open. The latter is the parity of the quote's ordinal number, so no running
-state is needed and the work stays linear in the number of words.
+state is needed. The work grows with the number of words, and with the square of the number of quotes.
 """
 
 from __future__ import annotations
@@ -26,14 +26,17 @@ def _title(slot: Column) -> Column:
                                     upper_first), "")
 
 
-def surface(token: Column, inverse_map: Mapping[str, str] | None = None) -> Column:
-    """What a reader sees for one token."""
+def surface(token: Column, inverse_map: Mapping[str, str] | None = None,
+            name: Column | None = None) -> Column:
+    """What a reader sees for one token. ``name`` is a slot's raw name, where one is known."""
     out = F.when(token.isin(list(fixed.SURFACES)),
                  F.element_at(map_literal(fixed.SURFACES), token))
     slot = _title(token)
     if inverse_map:
         slot = F.coalesce(F.element_at(map_literal(inverse_map), token), slot)
-    return (out.when(token.startswith("<ph_") & token.endswith(">"),
+    if name is not None:
+        slot = F.coalesce(name, slot)
+    return (out.when(is_slot(token),
                      F.concat(F.lit("{{"), slot, F.lit("}}")))
             .otherwise(token))
 
@@ -88,7 +91,18 @@ def polish(text: Column) -> Column:
                .otherwise(F.concat(t, F.lit("."))))
 
 
-def render(tokens: Column, inverse_map: Mapping[str, str] | None = None) -> Column:
-    words = F.filter(F.transform(tokens, lambda t: surface(t, inverse_map)),
-                     lambda w: w != "")
+def is_slot(token: Column) -> Column:
+    return token.startswith("<ph_") & token.endswith(">")
+
+
+def render(tokens: Column, inverse_map: Mapping[str, str] | None = None,
+           names: Column | None = None) -> Column:
+    """``names`` has the raw name, or null, of each token that ``is_slot``, in their order."""
+    def shown(t: Column, i: Column) -> Column:
+        if names is None:
+            return surface(t, inverse_map)
+        before = F.size(F.filter(F.slice(tokens, F.lit(1), i), is_slot))
+        return F.when(is_slot(t), surface(t, inverse_map, F.get(names, before))).otherwise(surface(t, inverse_map))
+
+    words = F.filter(F.transform(tokens, shown), lambda w: w != "")
     return polish(join_words(words))

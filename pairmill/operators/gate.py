@@ -12,6 +12,7 @@ from pairmill.functions import fixed
 from pairmill.functions.basics import empty_strings
 from pairmill.functions.text import content_words
 from pairmill.operators.lookup import lookup
+from pairmill.operators.quantiles import exact_quantile, sketched_quantile
 from pairmill.settings import Settings
 
 EMPTY_REASON = "empty query after cleaning"
@@ -118,6 +119,15 @@ def in_scope(oov: Column, logprob: Column, settings: Settings = Settings()) -> C
     return (oov <= settings.max_oov) & (logprob >= settings.min_logprob)
 
 
+def logprob_cutoff(replies: DataFrame, share: float = 0.05, column: str = "avg_logprob",
+                   exact: bool = False) -> float | None:
+    """The gate's lower bound: the mean log-probability that ``share`` of known good replies (of the
+    validation split) do not exceed, to six digits. By a sketch, whose rank errs by a hundredth of
+    the rows at most, or ``exact``."""
+    found = (exact_quantile if exact else sketched_quantile)(replies, column, share)
+    return None if found is None else round(found, 6)
+
+
 def reason_text(oov: Column, logprob: Column, n_anchors: Column, unknown: Column,
                 settings: Settings = Settings()) -> Column:
     named = F.array_join(F.slice(unknown, 1, 5), ", ")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmill.functions import fixed, text
+from pairmill.functions.basics import compute_once, empty_strings
+from pairmill.functions.render import is_slot, render
 from pairmill.operators.lookup import lookup
 from pairmill.settings import Settings
+from pairmill.sources.staging import stage
 
 
 def slot_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -34,12 +39,22 @@ def frequent(mapping: DataFrame) -> DataFrame:
     return mapping.where(F.col("slot") != fixed.GENERIC_SLOT)
 
 
-def small_map(mapping: DataFrame, settings: Settings = Settings()) -> dict[str, str] | None:
-    """The map as a constant, most frequent first, or None when it is too large."""
+#: Bytes of names that a constant map in the plan may hold.
+LITERAL_BYTES = 1_000_000
+
+
+def fits_in_plan(mapping: DataFrame, settings: Settings = Settings()) -> bool:
+    """Whether the entries of a (staged) map that matter are few and short enough for a constant."""
+    size = frequent(mapping).agg(F.count("*").alias("n"), F.sum(F.octet_length("raw")).alias("bytes")).first()
+    return size["n"] <= settings.literal_entries and (size["bytes"] or 0) <= LITERAL_BYTES
+
+
+def small_map(mapping: DataFrame, settings: Settings = Settings()) -> dict[str, str]:
+    """The map as a constant, most frequent first; only of a map that ``fits_in_plan``."""
     rows = (frequent(mapping).orderBy(F.desc("n"), "raw")
             .limit(settings.literal_entries + 1).collect())
-    if len(rows) > settings.literal_entries or sum(len(r.raw) for r in rows) > 1_000_000:
-        return None
+    if len(rows) > settings.literal_entries:
+        raise ValueError(f"the slot map has more than {settings.literal_entries} entries")
     return {r.raw: r.slot for r in rows}
 
 
@@ -50,16 +65,46 @@ def inverse_map(mapping: DataFrame) -> DataFrame:
             .where("_rn = 1").select("slot", "raw"))
 
 
-def apply_slots_df(df: DataFrame, column: str, mapping: DataFrame, key: str = "row_id",
+def apply_slots_df(df: DataFrame, column: str, mapping: DataFrame, key: str | Sequence[str] = "row_id",
                    settings: Settings = Settings()) -> DataFrame:
-    """Slot substitution through a join, for maps beyond an in-plan constant."""
+    """Slot substitution through a join, for maps beyond an in-plan constant. ``key`` is a column, or
+    columns, that tell the rows apart."""
+    keys = [key] if isinstance(key, str) else list(key)
     names = (df.where(F.contains(F.col(column), F.lit("{{")))
-             .select(key, F.posexplode(text.slot_names(F.col(column))).alias("pos", "raw")))
+             .select(*keys, F.posexplode(text.slot_names(F.col(column))).alias("pos", "raw")))
     found = lookup(names, frequent(mapping).select("raw", "slot"), "raw", settings)
     slot = F.coalesce("slot", F.lit(fixed.GENERIC_SLOT))
-    per_row = (found.groupBy(key)
+    per_row = (found.groupBy(*keys)
                .agg(F.array_sort(F.collect_list(F.struct("pos", slot.alias("slot")))).alias("_s"))
-               .select(key, F.col("_s.slot").alias("_slots")))
+               .select(*keys, F.col("_s.slot").alias("_slots")))
     filled = F.when(F.col("_slots").isNull(), F.col(column)).otherwise(
         text.fill_slots(F.col(column), F.col("_slots")))
-    return df.join(per_row, key, "left").withColumn(column, filled).drop("_slots")
+    return df.join(per_row, keys, "left").withColumn(column, filled).drop("_slots")
+
+
+def render_df(df: DataFrame, columns: dict[str, str], mapping: DataFrame | None,
+              key: str | Sequence[str] = "row_id", settings: Settings = Settings()) -> DataFrame:
+    """Add readable texts of token columns, ``{tokens: output}``, with the raw names of a (staged) slot
+    map of any size.
+
+    A small map is a constant in the plan. For a larger one the slots of all columns leave their rows
+    with place and column, meet the inverse map in one dictionary join, and come back in order, before
+    the spacing rules run inside the row. ``key`` is a column, or columns, that tell the rows apart.
+    """
+    if mapping is None or fits_in_plan(mapping, settings):
+        inverse = {} if mapping is None else {r.slot: r.raw for r in inverse_map(mapping).collect()}
+        return compute_once(df, **{out: render(F.col(c), inverse) for c, out in columns.items()})
+    keys = [key] if isinstance(key, str) else list(key)
+
+    def placed(c: str, out: str) -> Column:
+        slots = F.filter(F.coalesce(c, empty_strings()), is_slot)
+        return F.transform(slots, lambda t, i: F.struct(F.lit(out).alias("col"), i.alias("pos"), t.alias("slot")))
+
+    places = F.concat(*[placed(c, out) for c, out in columns.items()])
+    inverse = stage(inverse_map(mapping), "inverse-slots")
+    found = lookup(df.select(*keys, F.inline(places)), inverse, "slot", settings)
+    named = found.groupBy(*keys).agg(F.struct(*[F.array_sort(F.collect_list(
+        F.when(F.col("col") == out, F.struct("pos", "raw")))).alias(out) for out in columns.values()]).alias("_n"))
+    texts = {out: render(F.col(c), None, F.coalesce(F.col(f"_n.{out}.raw"), empty_strings()))
+             for c, out in columns.items()}
+    return compute_once(df.join(named, keys, "left"), **texts).drop("_n")

@@ -6,20 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairmill.functions import fixed, text
-from pairmill.functions.basics import compute_once
+from pairmill.functions.basics import empty_strings
 from pairmill.functions.render import render
-from pairmill.operators import gate, hypotheses as hyps, vocab as voc
+from pairmill.operators import gate, hypotheses as hyps, slots, vocab as voc
+from pairmill.plans.prepare import asked_queries
 from pairmill.settings import Settings
 
 
 def answer_batch(queries: DataFrame, candidates: DataFrame, lexicon, vocab: DataFrame,
-                 slot_map: dict[str, str] | None = None, apply_gate: bool = True,
+                 slot_map: DataFrame | dict[str, str] | None = None, apply_gate: bool = True,
                  strategy: str = "beam", beam_size: int | None = 3, limit: int | None = None,
                  settings: Settings = Settings()) -> DataFrame:
     """``queries`` has (query_id, query); ``candidates`` follows HYPOTHESES.
 
     Queries without a candidate count as log-probability minus infinity, so the
-    gate refuses them.
+    gate refuses them. ``slot_map`` is a constant, or a staged slot table (raw, slot, n) of any size,
+    by which queries are filled and replies rendered.
     """
     if limit is not None:
         queries = queries.orderBy("query_id").limit(limit)
@@ -27,14 +29,19 @@ def answer_batch(queries: DataFrame, candidates: DataFrame, lexicon, vocab: Data
                                 settings.length_penalty)
     best = voc.decode(best, "token_ids", vocab, "query_id", out="raw_tokens",
                       settings=settings).select("query_id", "raw_tokens", "avg_logprob")
-    asked = compute_once(queries, query_tokens=text.prepare_query(F.col("query"), slot_map))
+    asked = asked_queries(queries, slot_map, "query_id", settings)
     joined = asked.join(best, "query_id", "left").withColumn(
         "logprob", F.coalesce("avg_logprob", F.lit(float("-inf")))).drop("avg_logprob")
     gated = gate.scope_gate(joined, lexicon, key="query_id", settings=settings)
-    inverse = {slot: raw for raw, slot in reversed(list((slot_map or {}).items()))
-               if slot != fixed.GENERIC_SLOT}
-    tokens = F.coalesce("raw_tokens", F.array().cast("array<string>"))
-    reply = gate.substitute_refusal(render(tokens, inverse), F.col("in_scope"), apply_gate)
+    tokens = F.coalesce("raw_tokens", empty_strings())
+    if isinstance(slot_map, DataFrame):
+        gated = slots.render_df(gated.withColumn("raw_tokens", tokens), {"raw_tokens": "_reply"}, slot_map,
+                                "query_id", settings)
+    else:
+        inverse = {slot: raw for raw, slot in reversed(list((slot_map or {}).items()))
+                   if slot != fixed.GENERIC_SLOT}
+        gated = gated.withColumn("_reply", render(tokens, inverse))
+    reply = gate.substitute_refusal(F.col("_reply"), F.col("in_scope"), apply_gate)
     reply = F.when(F.size("query_tokens") == 0, fixed.REFUSAL).otherwise(reply)
     beam = F.lit(beam_size if strategy == "beam" else None).cast("int")
     return gated.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,8 +27,7 @@ def clean_pairs(pairs: DataFrame, mapping: DataFrame | dict | None = None,
     the constant's bound goes through a join.
     """
     if isinstance(mapping, DataFrame):
-        small = slots.small_map(mapping, settings)
-        if small is None:
+        if not slots.fits_in_plan(mapping, settings):
             work = compute_once(pairs, _q=text.before_slots(F.col("query")),
                                 _r=text.before_slots(F.col("response")))
             work = slots.apply_slots_df(work, "_q", mapping, settings=settings)
@@ -35,12 +35,25 @@ def clean_pairs(pairs: DataFrame, mapping: DataFrame | dict | None = None,
             tokens = text.query_tokens(text.after_slots(F.col("_q"), chat=True))
             return compute_once(work, query_clean=F.array_join(tokens, " "),
                                 response_clean=text.after_slots(F.col("_r"))).drop("_q", "_r")
-        mapping = small
+        mapping = slots.small_map(mapping, settings)
     tokens = text.prepare_query(F.col("query"), mapping)
     return compute_once(pairs, query_clean=F.array_join(tokens, " "),
                         response_clean=text.clean_text(F.col("response"), mapping))
 
 
+def asked_queries(queries: DataFrame, mapping: DataFrame | dict | None, key: str | Sequence[str],
+                  settings: Settings = Settings()) -> DataFrame:
+    """Add ``query_tokens`` to queries alone; ``mapping`` as in ``clean_pairs``."""
+    if isinstance(mapping, DataFrame):
+        if not slots.fits_in_plan(mapping, settings):
+            work = compute_once(queries, _q=text.before_slots(F.col("query")))
+            work = slots.apply_slots_df(work, "_q", mapping, key, settings)
+            return compute_once(work, query_tokens=text.query_tokens(
+                text.after_slots(F.col("_q"), chat=True))).drop("_q")
+        mapping = slots.small_map(mapping, settings)
+    return compute_once(queries, query_tokens=text.prepare_query(F.col("query"), mapping))
+
+
 def kept_pairs(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Length filter, first copies, reply cap.
 
