@@ -263,11 +263,13 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def blocks_of(nodes: DataFrame) -> DataFrame:
-    """``block`` and ``node`` of step 1: nodes share a min-hash. A large block is cut by its nodes' other
-    min-hash, and what is still large into parts, which all get its first node, and so hang together
-    where they hang on that. A node without company is left out."""
-    kinds = F.explode(F.array(*[F.struct(F.xxhash64(F.lit(i), a).alias("block"), F.col(b).alias("second"))
-                                for i, (a, b) in enumerate((("min_a", "min_b"), ("min_b", "min_a")))]))
+    """``block`` and ``node`` of step 1: nodes share a min-hash. A large block of the one kind is cut by its
+    nodes' other min-hash; a large one of the other kind, and what is still large of the first, into parts of
+    any nodes, which so tie the first kind's together. All parts get the block's first node. A node
+    without company is left out."""
+    kinds = F.explode(F.array(
+        F.struct(F.xxhash64(F.lit(0), "min_a").alias("block"), F.col("min_b").alias("second")),
+        F.struct(F.xxhash64(F.lit(1), "min_b").alias("block"), F.lit(0).cast("long").alias("second"))))
     member = stage(nodes.select("node", "size", kinds.alias("kind")).select("node", "size", "kind.*"), "members")
     parts = F.greatest(F.ceil(F.col("n") / BLOCK_NODES), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
 
