@@ -58,7 +58,7 @@ def test_exact_quantile(spark, monkeypatch, kind):
     r = random.Random(8)
     rows = {"even": [r.gauss(0, 3) for _ in range(3000)], "ties": [1.0] * 500 + [2.0] * 500, "one": [5.0]}[kind]
     df = spark.createDataFrame([(x,) for x in rows] + [(None,)], "x double").coalesce(2).cache()
-    for share in (0.05, 0.5) if kind != "one" else (1.0,):
+    for share in (0.05,) if kind != "one" else (1.0,):
         want = sorted(rows)[max(1, math.ceil(share * len(rows))) - 1]
         assert quantiles.exact_quantile(df, "x", share) == want
         assert gate.logprob_cutoff(df, share, "x", exact=True) == round(want, 6)
