@@ -170,6 +170,16 @@ def most_common_replies(spark, sf):
     return metrics.most_common(table(spark, sf, "documents"), "text", 5)
 
 
+@query(f"""with c as (select lang as strategy, lower({q.trim_space('text')}) as r, count(*) as n
+  from documents group by all)
+select strategy, cast(row_number() over w as integer) as rank, n as count, substr(r, 1, 160) as response from c
+ window w as (partition by strategy order by n desc, r)
+ qualify row_number() over w <= 5""")
+def top_replies_by_strategy(spark, sf):
+    replies = table(spark, sf, "documents").select(F.col("lang").alias("strategy"), "text")
+    return metrics.most_common(replies, "text", 5, ["strategy"])
+
+
 @query(f"""with {q.DIALOGUES} select 'all' as strategy,
  round(avg({q.word_count('query')}), 6) as mean_hypothesis_tokens,
  round(avg({q.word_count('response')}), 6) as mean_reference_tokens from dp""")

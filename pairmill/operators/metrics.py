@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmill.functions import scoring
@@ -98,9 +98,15 @@ def genericity(df: DataFrame, reply: str, by: list[str] | None = None) -> DataFr
         F.coalesce(F.round(repeated, 4), F.lit(0.0)).alias("repeated_response_rate"))
 
 
-def most_common(df: DataFrame, reply: str, top_k: int = 5) -> DataFrame:
-    return (reply_counts(df, reply).orderBy(F.desc("n"), "reply").limit(top_k)
-            .select(F.col("n").alias("count"), prefix(F.col("reply")).alias("response")))
+def most_common(df: DataFrame, reply: str, top_k: int = 5, by: list[str] | None = None) -> DataFrame:
+    """The most frequent replies, of each group by ``by`` with their ``rank``. Each task passes on
+    ``top_k`` rows a group at most, so a large group is not sorted in one task."""
+    shown = [F.col("n").alias("count"), prefix(F.col("reply")).alias("response")]
+    if not by:
+        return reply_counts(df, reply).orderBy(F.desc("n"), "reply").limit(top_k).select(*shown)
+    order = Window.partitionBy(*by).orderBy(F.desc("n"), "reply")
+    return (reply_counts(df, reply, by).withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= top_k).select(*by, "rank", *shown))
 
 
 def mean_lengths(df: DataFrame, by: list[str], hyp: str = "hyp", ref: str = "ref") -> DataFrame:

@@ -9,6 +9,11 @@ from pairmill.operators import gate, lm, metrics
 from pairmill.sources.staging import stage
 
 
+def top_replies(aligned: DataFrame, top_k: int = 5) -> DataFrame:
+    """(strategy, rank, count, response): what each strategy answers most often."""
+    return metrics.most_common(aligned, "hyp", top_k, ["strategy"])
+
+
 def evaluate(aligned: DataFrame, prepared: DataFrame, model: lm.ReplyModel,
              gated: DataFrame | None = None) -> DataFrame:
     """(strategy, metric, value).

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pairmill.functions import arrays, scoring
 from pairmill.operators import lm, metrics
+from pairmill.plans.evaluate import top_replies
 
 
 def grams(items, n):
@@ -175,3 +176,11 @@ def test_model_probabilities_sum_to_one(spark):
                                    "v string, w string")
     sums = lm.score_bigrams(grams_, model).groupBy("v").agg(F.sum(F.exp("logprob")).alias("s"))
     assert [r.s for r in sums.collect()] == pytest.approx([1.0] * 4)
+
+
+def test_most_common_by_group(spark):
+    rows = [("a", " Yes "), ("a", "yes"), ("a", "no"), ("a", "b"), ("b", "No"), ("b", None), ("b", None)]
+    df = spark.createDataFrame(rows, "strategy string, hyp string")
+    got = sorted(map(tuple, top_replies(df, 2).collect()))
+    assert got == [("a", 1, 2, "yes"), ("a", 2, 1, "b"), ("b", 1, 2, None), ("b", 2, 1, "no")]
+    assert top_replies(df.where("false")).count() == 0
