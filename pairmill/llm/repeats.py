@@ -23,13 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, texts
+from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, remembered, texts
 from pairmill.llm.skew import attach
 from pairmill.llm.suffixes import sort_suffixes
 from pairmill.sources.staging import stage
 
 GRAM = 32
-BLOCK = 4 << 20
+#: Bytes of text whose windows a task hashes at once; about sixty times as much memory.
+BLOCK = 2 << 20
 #: Candidates of one anchor that a task sorts.
 GROUP_ROWS = 20_000
 
@@ -88,6 +89,7 @@ def contexts(pieces: list[bytes], size: int) -> tuple[np.ndarray, ...]:
 
 def _find(size: int, block_bytes: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered("repeats", dict)  # drops what other operators left in the worker
         for block in blocks(batches, limit=block_bytes):
             pieces, keys, offsets = [], [], []
             for key, text in zip(block.column("key").to_pylist(), blobs(block.column("text")),
