@@ -25,7 +25,7 @@ def test_names():
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and len(queries) > 80
     own = {n for n in queries if n != "pipeline" and not n.startswith("op")}
-    assert own - set(sql) == {"rouge_l", "evaluation_report"}
+    assert own - set(sql) == {"evaluation_report"}
 
 
 def test_import_needs_no_session():
