@@ -70,6 +70,20 @@ def split_folders(spark, sf):
         "row_id", "query_clean", F.array_join("response_tokens", " ").alias("reply"))
 
 
+@query(q.PREPARED_LINES + """ select query_clean, array_to_string(response_tokens, ' ') as response_clean,
+ coalesce(category, '') as category, coalesce(intent, '') as intent, cast(len(query_tokens) as bigint) as n_tokens
+ from prep where split = 'test'""")
+def split_csv(spark, sf):
+    """A split through CSV, read line by line in many tasks."""
+    path = stage_path(spark, "split") + ".csv"
+    prepared = prepared_lines(spark, sf).where(F.col("split") == "test")
+    writers.write_csv(prepared.select("query_clean", F.array_join("response_tokens", " ").alias("response_clean"),
+                                      "category", "intent"), path)
+    return readers.read_split_csv(spark, path, multi_line=False).select(
+        "query_clean", "response_clean", "category", "intent",
+        F.size("query_tokens").cast("bigint").alias("n_tokens"))
+
+
 @query(TRAIN_TOKENS + " select token, id, n from vo")
 def vocabulary_file(spark, sf):
     words = vocab.build_vocab(train_lines(spark, sf), ["query_tokens", "response_tokens"])
@@ -104,7 +118,7 @@ def answers_export(spark, sf):
     export = writers.answers_export(answers)
     path = stage_path(spark, "answers") + ".csv"
     writers.write_csv(export, path)
-    return spark.read.schema(export.schema).options(**readers._CSV).csv(path)
+    return spark.read.schema(export.schema).options(**readers.csv_options()).csv(path)
 
 
 @query(f"""with {q.DIALOGUES} select conv_id, cast(0 as bigint) as part,

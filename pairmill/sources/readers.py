@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairmill.functions import fixed, text
 from pairmill.schema import PREPARED_PAIRS, RAW_PAIRS
+from pairmill.sources.staging import stage
 
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"',
-        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_BROKEN = "_broken"
+
+
+def csv_options(multi_line: bool = True) -> dict[str, str | bool]:
+    """How CSV is read. With ``multi_line`` values may hold line breaks, and a file is one task; without,
+    files are split over tasks by lines."""
+    return {"header": True, "multiLine": multi_line, "quote": '"', "escape": '"',
+            "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def select_pairs(df: DataFrame, query_col: str = "instruction",
@@ -21,42 +28,71 @@ def select_pairs(df: DataFrame, query_col: str = "instruction",
     return renamed.select(*keep)
 
 
-def _named_csv(spark: SparkSession, path: str, schema: T.StructType, required: set[str]) -> DataFrame:
+def _named_csv(spark: SparkSession, path: str, schema: T.StructType, required: set[str],
+               multi_line: bool = True, broken: bool = False) -> DataFrame:
     """The columns of ``schema`` by their names in the header, in whatever order; absent ones are null.
 
     Reads a first line ahead for the names, no values. Files of one folder must have the same header.
+    With ``broken`` there is a further column: the line of a row with more or fewer values than the header.
     """
-    df = spark.read.options(**_CSV, enforceSchema=False).csv(path)
+    reader = spark.read.options(**csv_options(multi_line), enforceSchema=False)
+    df = reader.csv(path)
+    wanted = [*schema, T.StructField(_BROKEN, T.StringType())] if broken else [*schema]
     if not df.columns:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType(wanted))
     missing = sorted(required - set(df.columns))
     if missing:
         raise ValueError(f"no column {', '.join(missing)} in {path}")
+    if broken:
+        df = reader.option("columnNameOfCorruptRecord", _BROKEN).schema(
+            T.StructType([*df.schema, T.StructField(_BROKEN, T.StringType())])).csv(path)
     return df.select(*((F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType)
-                       .alias(f.name) for f in schema))
+                       .alias(f.name) for f in wanted))
 
 
 def read_pairs(spark: SparkSession, path: str, schema: T.StructType | None = None,
-               query_col: str = "instruction", response_col: str = "response") -> DataFrame:
-    """Pair corpus from CSV (with a declared schema) or Parquet; both text columns must be there."""
+               query_col: str = "instruction", response_col: str = "response",
+               multi_line: bool = True) -> DataFrame:
+    """Pair corpus from CSV (with a declared schema) or Parquet; both text columns must be there.
+
+    Pass ``multi_line=False`` for large files without line breaks in values: they are then read by
+    many tasks (``read_pairs_checked`` tells whether all rows are whole).
+    """
     if schema is None:
         df = spark.read.parquet(path)
     else:
-        df = _named_csv(spark, path, schema, {query_col, response_col})
+        df = _named_csv(spark, path, schema, {query_col, response_col}, multi_line)
     return select_pairs(df, query_col, response_col)
 
 
+def read_pairs_checked(spark: SparkSession, path: str, schema: T.StructType, query_col: str = "instruction",
+                       response_col: str = "response", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Pairs of a CSV file, and a side table ``line`` of the rows with more or fewer values than the header.
+
+    The file is parsed once, into a staged table that both results read. A value with a line break
+    leaves broken rows behind when lines are read singly; only one at the end of a row whose rest has as
+    many values as the header can pass for whole.
+    """
+    rows = stage(_named_csv(spark, path, schema, {query_col, response_col}, multi_line, broken=True), "csv-pairs")
+    whole = rows.where(F.col(_BROKEN).isNull()).drop(_BROKEN)
+    return (select_pairs(whole, query_col, response_col),
+            rows.where(F.col(_BROKEN).isNotNull()).select(F.col(_BROKEN).alias("line")))
+
+
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """One prepared split; the filter prunes the ``split=`` folders."""
     df = spark.read.schema(PREPARED_PAIRS).parquet(path).where(F.col("split") == split)
     return df.na.fill("")
 
 
-def read_split_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A split stored as CSV with space-joined tokens; category and intent may be absent."""
+def read_split_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A split stored as CSV with space-joined tokens; category and intent may be absent.
+
+    Tokens hold no line breaks, so ``multi_line=False`` reads what this library has written, by many tasks.
+    """
     fields = ("query_clean", "response_clean", "category", "intent")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
-    df = _named_csv(spark, path, schema, {"query_clean", "response_clean"}).na.fill("")
+    df = _named_csv(spark, path, schema, {"query_clean", "response_clean"}, multi_line).na.fill("")
     return df.select("*", text.words(F.col("query_clean")).alias("query_tokens"),
                      text.words(F.col("response_clean")).alias("response_tokens"))
 
@@ -70,33 +106,53 @@ def read_query_lines(spark: SparkSession, path: str) -> DataFrame:
 def query_column(schema: T.StructType) -> str:
     """The column that holds the queries, by type and name."""
     textual = (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    strings = [f.name for f in schema if isinstance(f.dataType, textual)]
-    candidates = strings or schema.fieldNames()
+    return _best_named(schema.fieldNames(), [f.name for f in schema if isinstance(f.dataType, textual)])
+
+
+def _best_named(columns: list[str], textual: list[str]) -> str:
+    candidates = textual or columns
     return next((c for c in candidates if c.lower() in fixed.QUERY_COLUMNS), candidates[0])
 
 
+def textual_columns(df: DataFrame) -> list[str]:
+    """String columns that hold text: not all of their values are numbers, nor all truth values; a column
+    without any value counts as text. One aggregate over ``df``, whatever its columns."""
+    def votes(name: str) -> list[Column]:
+        value = F.col(f"`{name}`")
+        number = value.try_cast("double").isNotNull()
+        return [F.count_if(value.isNotNull() & ~number), F.count(value),
+                F.count_if(value.isNotNull() & ~F.lower(F.trim(value)).isin("true", "false"))]
+    if not df.columns:
+        return []
+    row = tuple(df.agg(*[v for c in df.columns for v in votes(c)]).first())
+    return [c for c, (words, n, other) in zip(df.columns, zip(*[iter(row)] * 3, strict=True), strict=True)
+            if n == 0 or (words and other)]
+
+
 def queries_of(df: DataFrame, column: str | None = None) -> DataFrame:
     column = column or query_column(df.schema)
     return df.select(F.coalesce(F.col(f"`{column}`").cast("string"), F.lit("")).alias("query"))
 
 
-def read_queries(spark: SparkSession, path: str,
-                 schema: T.StructType | None = None) -> DataFrame:
+def read_queries(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 multi_line: bool = True) -> DataFrame:
     """Query file of either kind, chosen by its ending.
 
-    Without a declared schema the types are looked at once, only to find the
-    column; the values themselves are read as text.
+    Without a declared schema, and with several columns, the file is parsed once, as strings, into a
+    staged table; votes over that table find the column.
     """
     if not path.lower().endswith(".csv"):
         return read_query_lines(spark, path)
-    reader = spark.read.options(**_CSV)
+    reader = spark.read.options(**csv_options(multi_line))
     if schema is not None:
         return queries_of(reader.schema(schema).csv(path))
     df = reader.csv(path)
     if not df.columns:
         return spark.createDataFrame([], "query string")
-    inferred = spark.read.options(**_CSV, inferSchema=True).csv(path).schema
-    return queries_of(df, query_column(inferred))
+    if len(df.columns) == 1:
+        return queries_of(df, df.columns[0])
+    df = stage(df, "csv-queries")
+    return queries_of(df, _best_named(df.columns, textual_columns(df)))
 
 
 def read_dictionary(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:

@@ -16,7 +16,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 SAMPLE = ["clean_pages", "fill_slots_by_join", "render_documents", "capped_replies", "exact_split",
           "shared_between_splits", "training_batches", "scope_signals_by_join", "cut_at_eos",
-          "corpus_bleu", "corpus_chrf", "perplexity", "answers", "live_refusal_rate", "transcripts"]
+          "corpus_bleu", "corpus_chrf", "perplexity", "answers", "live_refusal_rate", "transcripts", "split_csv", "query_csv"]
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 

@@ -52,6 +52,42 @@ def test_query_files(spark, tmp_path):
     assert readers.read_queries(spark, str(empty)).count() == 0
 
 
+def test_columns_told_by_votes(spark, tmp_path):
+    table = tmp_path / "v.csv"
+    table.write_text("Text,flag,when,note,none,mixed\n1,true,2024-01-02,3 items,,1\n 2.5e3,FALSE,2024-01-03,4,,true\n,,,,,\n")
+    df = spark.read.options(**readers.csv_options()).csv(str(table))
+    assert readers.textual_columns(df) == ["when", "note", "none", "mixed"]
+    inferred = spark.read.options(**readers.csv_options(), inferSchema=True).csv(str(table)).schema
+    assert readers.query_column(inferred) == "when"
+    got = readers.read_queries(spark, str(table))
+    assert sorted(r.query for r in got.collect()) == ["", "2024-01-02", "2024-01-03"]
+    assert readers.textual_columns(df.select("Text", "flag")) == []
+    (tmp_path / "n.csv").write_text("a,Question\n1,2\n3,4\n")
+    assert [r.query for r in readers.read_queries(spark, str(tmp_path / "n.csv")).collect()] == ["2", "4"]
+
+
+def test_files_are_split_and_broken_rows_set_aside(spark, tmp_path):
+    rows = [f'Q,"say ""{i}"", now",r{i}' for i in range(3000)]
+    rows[1000:1000] = ["Q,only two", "Q,a,b,one too many"]
+    path = tmp_path / "p.csv"
+    path.write_text("\n".join(["flags,instruction,response", *rows]) + "\n", encoding="utf-8")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("instruction", "response", "flags", "intent")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert readers.read_pairs(spark, str(path), schema, multi_line=False).rdd.getNumPartitions() > 3
+        assert readers.read_pairs(spark, str(path), schema).rdd.getNumPartitions() == 1
+        whole, broken = readers.read_pairs_checked(spark, str(path), schema)
+        assert sorted(r.line for r in broken.collect()) == ["Q,a,b,one too many", "Q,only two"]
+        got = {(r.query, r.response, r.flags) for r in whole.collect()}
+        assert got == {(f'say "{i}", now', f"r{i}", "Q") for i in range(3000)} and whole.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    path.write_text("flags,instruction,response\n")
+    whole, broken = readers.read_pairs_checked(spark, str(path), schema)
+    assert whole.count() == broken.count() == 0
+
+
 @pytest.mark.parametrize("fields, column", [
     ([("ticket_id", "string"), ("query", "string")], "query"),
     ([("n", "int"), ("note", "string"), ("x", "string")], "note"),
