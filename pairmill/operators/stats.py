@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pairmill.functions.basics import compute_once
 from pairmill.functions.text import word_count
 from pairmill.operators.filters import automated_pair, proper_length
 from pairmill.settings import Settings
+from pairmill.sources.staging import stage
 
 
 def row_count_check(df: DataFrame, expected: int) -> DataFrame:
@@ -45,10 +47,19 @@ def length_summary(df: DataFrame, columns: list[str]) -> DataFrame:
         pct(.75).alias("p75"), F.max("w").cast("double").alias("max")))
 
 
-def source_counts(raw: DataFrame) -> DataFrame:
+def staged_usable(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The usable pairs of ``raw`` as a staged table, and one row with how many pairs there were and why the
+    others went. Reads ``raw`` once: the counts are observed while the table is written."""
     null = F.col("query").isNull() | F.col("response").isNull()
-    return raw.agg(F.count("*").alias("raw_pairs"), F.count_if(null).alias("dropped_null"),
-                   F.count_if(~null & automated_pair()).alias("dropped_automated"))
+    seen = Observation()
+    names = ("raw_pairs", "dropped_null", "dropped_automated")
+    tagged = compute_once(raw, _why=F.when(null, "null").when(automated_pair(), "automated")).observe(
+        seen, F.count(F.lit(1)).alias(names[0]), F.count_if(F.col("_why") == "null").alias(names[1]),
+        F.count_if(F.col("_why") == "automated").alias(names[2]))
+    usable = stage(tagged.where("_why is null").drop("_why"), "usable")
+    counts = seen.get
+    return usable, raw.sparkSession.createDataFrame([tuple(counts[n] for n in names)],
+                                                    ", ".join(f"{n} bigint" for n in names))
 
 
 def dedupe_counts(cleaned: DataFrame, settings: Settings = Settings()) -> DataFrame:

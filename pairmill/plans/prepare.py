@@ -86,7 +86,7 @@ class Prepared:
 
 def prepare(raw: DataFrame, settings: Settings = Settings()) -> Prepared:
     """The whole preparation; every barrier is a staged table read many times."""
-    usable = usable_pairs(raw)
+    usable, source = stats.staged_usable(raw)
     mapping = stage(slots.slot_map(usable, ["query", "response"], settings.slot_min_freq),
                     "slots")
     cleaned = stage(clean_pairs(usable, mapping, settings), "cleaned")
@@ -101,7 +101,7 @@ def prepare(raw: DataFrame, settings: Settings = Settings()) -> Prepared:
         summed(train.where(F.col("side") == "query")), settings.scope_min_freq,
         settings.anchor_top_k), "lexicon")
     summary = stats.one_row(
-        stats.source_counts(raw), slots.slot_types(mapping),
+        source, slots.slot_types(mapping),
         stats.dedupe_counts(cleaned, settings), stats.token_stats(pairs),
         words.agg((F.count("*") + 4).alias("vocab_size")),
         vocab.coverage(summed(counts), words).select(

@@ -42,6 +42,28 @@ def test_pipeline_accounts_for_every_row(raw):
     assert [r.row_id for r in pairs.orderBy("row_id").collect()] == [0, 1, 2, 3, 200]
 
 
+def test_raw_pairs_are_read_once(spark):
+    rows = [(i, f"where is my order number {i} please", "we will look into it today .", "c", "i") for i in range(40)]
+    rows += [(50, None, "r", None, None), (51, "q", None, None, None), (52, None, None, None, None),
+             (53, "This is an automated message", "reply", None, None), (54, None, "This is an automated message", None, None)]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    table = spark.createDataFrame(rows, "row_id bigint, query string, response string, category string, intent string")
+    out = plan.prepare(table.mapInArrow(seen, table.schema))
+    row = out.stats.first()
+    assert (row.raw_pairs, row.dropped_null, row.dropped_automated) == (45, 4, 1)
+    assert out.pairs.count() == 40 and read.value == 45
+    usable, counts = stats.staged_usable(table.where("false"))
+    assert usable.count() == 0 and tuple(counts.first()) == (0, 0, 0)
+    usable, counts = stats.staged_usable(spark.createDataFrame([], table.schema))
+    assert usable.columns == table.columns and tuple(counts.first()) == (0, 0, 0)
+
+
 def test_first_copy_and_cap_follow_row_id(spark):
     rows = [(5, "a", "x"), (1, "a", "x"), (3, "a", "y"), (2, "b", "x")]
     df = spark.createDataFrame(rows, "row_id bigint, query_clean string, response_clean string")
