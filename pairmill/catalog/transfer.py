@@ -121,11 +121,14 @@ def answers_export(spark, sf):
     return spark.read.schema(export.schema).options(**readers.csv_options()).csv(path)
 
 
-@query(f"""with {q.DIALOGUES} select conv_id, cast(0 as bigint) as part,
- string_agg('Customer: ' || query || chr(10) || 'Assistant: ' || response, chr(10) || chr(10) order by turn)
-   as transcript from dp group by conv_id""")
+@query(f"""with {q.DIALOGUES},
+en as (select conv_id, turn, 'Customer: ' || query || chr(10) || 'Assistant: ' || response as entry from dp),
+pa as (select *, cast(coalesce(sum(strlen(entry)) over (partition by conv_id order by turn, entry
+   rows between unbounded preceding and 1 preceding), 0) // 300 as bigint) as part from en)
+select conv_id, part, string_agg(entry, chr(10) || chr(10) order by turn, entry) as transcript from pa group by all""")
 def transcripts(spark, sf):
-    return writers.transcripts(dialogues(spark, sf), "conv_id", "turn", "query", "response")
+    """Parts of 300 bytes, so that a conversation has several."""
+    return writers.transcripts(dialogues(spark, sf), "conv_id", "turn", "query", "response", bytes_per_part=300)
 
 
 @query(f"""with s as (select doc_id, text, lang from documents

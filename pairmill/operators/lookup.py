@@ -86,3 +86,21 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank",
                             .alias("_offset"))
     return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
             .select(*df.columns, (F.col("_offset") + inside + first).alias(name)))
+
+
+def sums_before(df: DataFrame, by: str, order: list[Column], value: Column, name: str) -> DataFrame:
+    """The sum of ``value`` over the rows that come before within the same ``by``, however many there are.
+
+    As in ``ranked``, rows are range partitioned and written once; running sums inside a range are shifted
+    by the group's sums in the ranges before, one row per group and range. Null is a group of its own.
+    """
+    placed = df.withColumn("_value", value).repartitionByRange(F.col(by), *order)
+    placed = stage(placed.withColumn("_part", F.spark_partition_id()), "sums")
+    totals = placed.groupBy(F.col(by).alias("_by"), F.col("_part").alias("_range")).agg(F.sum("_value").alias("_total"))
+    earlier = Window.partitionBy("_by").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_by", "_range", F.sum("_total").over(earlier).alias("_shift")).where("_shift is not null")
+    inside = Window.partitionBy("_part", by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0)
+    summed = placed.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), zero))
+    return (summed.join(shifts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_range")), "left")
+            .select(*df.columns, (F.coalesce("_shift", zero) + F.col("_inside")).alias(name)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pairmill.functions.render import render
 from pairmill.functions.text import words
+from pairmill.operators.lookup import sums_before
 
 
 def write_splits(prepared: DataFrame, path: str) -> None:
@@ -31,18 +32,21 @@ def answers_export(answers: DataFrame) -> DataFrame:
 
 
 def transcripts(turns: DataFrame, session: str, turn: str, query: str, response: str,
-                turns_per_part: int = 1000) -> DataFrame:
-    """Session transcripts, one row per part of at most ``turns_per_part`` numbers.
+                bytes_per_part: int = 1 << 20) -> DataFrame:
+    """Session transcripts, one row per part; a session's parts in order are the whole.
 
-    A part is a bounded group, so one endless session spreads over many tasks;
-    its parts in order are the whole transcript.
+    A part has the entries that begin within the same ``bytes_per_part`` bytes of the session, so it is
+    bounded by that and one entry, and one endless session spreads over many tasks. A number that no
+    entry begins in is left out. Entries of one turn go by their text; one with a null side is left out.
     """
     entry = F.concat(F.lit("Customer: "), F.col(query), F.lit("\nAssistant: "),
                      F.col(response))
-    part = F.floor(F.col(turn) / turns_per_part).cast("bigint")
-    return (turns.groupBy(F.col(session), part.alias("part"))
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"),
-                                                      entry.alias("text")))).alias("t"))
+    rows = turns.select(session, F.col(turn).alias("turn"), entry.alias("text")).where("text is not null")
+    order = [F.col("turn").asc(), F.col("text").asc()]
+    placed = sums_before(rows, session, order, F.octet_length("text").cast("bigint"), "_before")
+    part = F.expr(f"_before div {bytes_per_part}")
+    return (placed.groupBy(F.col(session), part.alias("part"))
+            .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
             .select(session, "part", F.array_join(F.col("t.text"), "\n\n").alias("transcript")))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairmill.functions.text import clean_text
-from pairmill.operators import gate
+from pairmill.operators import gate, lookup
 from pairmill.sources import pairs, readers, staging, writers
 from pairmill.streaming import live
 
@@ -114,12 +114,29 @@ def test_split_csv_and_dictionary(spark, tmp_path):
 
 
 def test_transcripts_split_long_sessions(spark):
-    df = spark.createDataFrame([(1, t, f"q{t}", f"r{t}") for t in (2, 0, 1)] + [(2, 5, "q", "r")],
+    """Each of these entries has 26 bytes; parts begin at multiples of 50."""
+    df = spark.createDataFrame([(1, t, f"q{t}", f"r{t}") for t in (2, 0, 1)] + [(None, 5, "q", "é"), (3, 1, None, "r")],
                                "s bigint, t bigint, q string, r string")
     got = {(r.s, r.part): r.transcript
-           for r in writers.transcripts(df, "s", "t", "q", "r", turns_per_part=2).collect()}
+           for r in writers.transcripts(df, "s", "t", "q", "r", bytes_per_part=50).collect()}
     assert got == {(1, 0): "Customer: q0\nAssistant: r0\n\nCustomer: q1\nAssistant: r1",
-                   (1, 1): "Customer: q2\nAssistant: r2", (2, 2): "Customer: q\nAssistant: r"}
+                   (1, 1): "Customer: q2\nAssistant: r2", (None, 0): "Customer: q\nAssistant: é"}
+
+
+def test_one_endless_session_spreads(spark):
+    rows = [(7, t, "é" * (t % 5), "r") for t in range(500)] + [(8, 1, "x", "y")]
+    df = spark.createDataFrame(rows, "s bigint, t bigint, q string, r string").repartition(5)
+    got = {(r.s, r.part): r.transcript
+           for r in writers.transcripts(df, "s", "t", "q", "r", bytes_per_part=200).collect()}
+    want, before = {}, 0
+    for _, t, q, r in rows[:-1]:
+        entry = f"Customer: {q}\nAssistant: {r}"
+        want.setdefault((7, before // 200), []).append(entry)
+        before += len(entry.encode())
+    assert got == {k: "\n\n".join(v) for k, v in want.items()} | {(8, 0): "Customer: x\nAssistant: y"}
+    placed = lookup.sums_before(df, "s", [F.col("t").asc()], F.lit(1).cast("bigint"), "n")
+    assert sorted((r.s, r.t, r.n) for r in placed.collect()) == [*((7, t, t) for t in range(500)), (8, 1, 0)]
+    assert lookup.sums_before(df.where("false"), "s", [F.col("t").asc()], F.lit(1), "n").count() == 0
 
 
 def test_rating_sheet(spark):
