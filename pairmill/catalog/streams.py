@@ -14,8 +14,10 @@ from pairmill.streaming import live
 
 
 def stream_of(spark, sf, name):
+    """A table as a stream, be it one file or a folder of part files: the pattern matches its name alone,
+    since the file source takes a plain path for a folder."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parque[t]")
 
 
 def drained(stream, name):
