@@ -80,14 +80,34 @@ def repeat_completions(ids: Column, n: int = 3) -> Column:
     """Items that would complete an n-gram the sequence already holds."""
     if n <= 0:
         return F.slice(ids, 1, 0)
-    tail = F.slice(ids, F.greatest(F.size(ids) - (n - 2), F.lit(1)), n - 1)
-    hits = F.filter(ngrams(ids, n), lambda g: F.slice(g, 1, n - 1) == tail)
-    return F.transform(hits, lambda g: F.get(g, F.lit(n - 1)))
+
+    def met(a: Column, i: Column) -> Column:
+        same = F.lit(True)
+        for j in range(n - 1):
+            same = same & F.get(a, i + j).eqNullSafe(F.get(a, F.size(a) - (n - 1) + j))
+        return same
+
+    def found(a: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(a) - n), lambda i: met(a, i))
+        return F.transform(starts, lambda i: F.get(a, i + (n - 1)))
+    none = F.flatten(F.slice(F.array(ids), 1, 0))
+    return F.when(F.size(ids) >= n, let(ids, found)).otherwise(none)
 
 
 def has_repeat(items: Column, n: int = 3) -> Column:
-    grams = ngrams(items, n)
-    return F.size(F.array_distinct(grams)) < F.size(grams)
+    """Whether an n-gram occurs twice. Different hashes tell most sequences without; else the n-grams are
+    sorted, where equal ones are neighbours."""
+    def hashes(a: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(a) - n),
+                           lambda i: F.xxhash64(*[F.get(a, i + j) for j in range(n)]))
+
+    def neighbours(grams: Column) -> Column:
+        return F.exists(F.sequence(F.lit(1), F.size(grams) - 1),
+                        lambda i: F.get(grams, i).eqNullSafe(F.get(grams, i - 1)))
+    def sought(a: Column) -> Column:
+        different = F.size(F.array_distinct(hashes(a))) == F.size(a) - (n - 1)
+        return F.when(different, False).otherwise(let(F.sort_array(ngrams(a, n)), neighbours))
+    return F.when(F.size(items) > n, let(items, sought)).otherwise(False)
 
 
 def frame_ids(ids: Column, max_len: int, add_sos: bool = True, add_eos: bool = True) -> Column:
