@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from pairmill.functions import fixed
-from pairmill.functions.arrays import char_ngrams, clipped_matches, ngram_keys
-from pairmill.functions.basics import let
-from pairmill.functions.text import words
+from pairmill.functions.text import SPACE, one_of, words
 
 
 def tokens_13a(text: Column) -> Column:
@@ -22,47 +22,124 @@ def tokens_13a(text: Column) -> Column:
         text = F.replace(text, F.lit(entity), F.lit(plain))
     text = F.concat(F.lit(" "), text, F.lit(" "))
     # The published class also pads the space itself, which changes no token.
-    text = F.regexp_replace(text, r"([\{-~\[-`!-&\(-\+:-@/])", " $1 ")
-    text = F.regexp_replace(text, r"([^0-9])([.,])", "$1 $2 ")
-    text = F.regexp_replace(text, r"([.,])([^0-9])", " $1 $2")
-    text = F.regexp_replace(text, r"([0-9])(-)", "$1 $2 ")
+    digit = one_of("09")
+    text = F.regexp_replace(text, f"([{one_of('{~[`!&(+:@//')}])", " $1 ")
+    text = F.regexp_replace(text, f"([^{digit}])([.,])", "$1 $2 ")
+    text = F.regexp_replace(text, f"([.,])([^{digit}])", " $1 $2")
+    text = F.regexp_replace(text, f"([{digit}])(-)", "$1 $2 ")
     return words(text)
 
 
 def tokens_rouge(text: Column) -> Column:
     """Lower-cased ASCII alphanumerics; no stemming."""
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.regexp_extract_all(F.lower(text), F.lit(f"[{one_of('az09')}]+"), F.lit(0))
 
 
-def overlap(hyp: Column, ref: Column, orders: range | list[int], grams) -> Column:
-    """``struct(m1, h1, r1, m2, ...)``: matches and totals per n-gram order."""
-    def one_order(h: Column, r: Column, n: int) -> Column:
-        both = let(grams(h, n), lambda x: let(grams(r, n), lambda y: F.struct(
-            clipped_matches(x, y).alias("m"), F.size(x).cast("bigint").alias("h"),
-            F.size(y).cast("bigint").alias("r"))))
-        return both.alias(f"o{n}")
+#: Tokens of both sides that a task counts at once.
+_AT_ONCE = 500_000
 
-    def fields(h: Column, r: Column) -> Column:
-        return F.struct(*[one_order(h, r, n) for n in orders])
-    nested = let(hyp, lambda h: let(ref, lambda r: fields(h, r)))
-    return let(nested, lambda s: F.struct(*[
-        s[f"o{n}"][side].alias(f"{side}{n}") for n in orders for side in ("m", "h", "r")]))
+
+def _counted(tokens: np.ndarray, hyp_lens: np.ndarray, ref_lens: np.ndarray, top: int) -> list[np.ndarray]:
+    """Matches m1, m2, ... of rows whose numbered tokens are given, all hypotheses first.
+
+    An n-gram is numbered by its row, the number of the gram before it and its last token, so equal numbers
+    are equal n-grams of one row, told by value and not by a hash.
+    """
+    rows, lens = len(hyp_lens), np.concatenate([hyp_lens, ref_lens])
+    row = np.repeat(np.concatenate([np.arange(rows), np.arange(rows)]), lens)
+    left = np.repeat(np.cumsum(lens), lens) - np.arange(len(tokens))
+    base, of_hyp = int(tokens.max(initial=0)) + 1, int(hyp_lens.sum())
+    number, out = row, []
+    for n in range(1, top + 1):
+        at = np.flatnonzero(left >= n)
+        codes, found = pd.factorize(number[at] * base + tokens[at + (n - 1)])
+        cut = int(np.searchsorted(at, of_hyp))
+        both = np.minimum(np.bincount(codes[:cut], minlength=len(found)), np.bincount(codes[cut:], minlength=len(found)))
+        owner = np.zeros(len(found), dtype=np.int64)
+        owner[codes] = row[at]
+        out.append(np.bincount(owner, weights=both, minlength=rows).astype(np.int64))
+        number = np.zeros(len(tokens), dtype=np.int64)
+        number[at] = codes
+    return out
+
+
+def _overlaps(hyp_lens: np.ndarray, ref_lens: np.ndarray, numbered, top: int, hyp_null, ref_null) -> pa.Array:
+    """The struct of ``overlap`` for a batch, counted in slices of bounded size. ``numbered`` gives the tokens of
+    rows ``a`` to ``b``."""
+    matches = [np.zeros(len(hyp_lens), dtype=np.int64) for _ in range(top)]
+    ends, a = np.cumsum(hyp_lens + ref_lens), 0
+    while a < len(hyp_lens):
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + _AT_ONCE, side="right")))
+        for n, m in enumerate(_counted(numbered(a, b), hyp_lens[a:b], ref_lens[a:b], top)):
+            matches[n][a:b] = m
+        a = b
+    names, arrays = [], []
+    for n in range(1, top + 1):
+        names += [f"m{n}", f"h{n}", f"r{n}"]
+        arrays += [pa.array(matches[n - 1], mask=hyp_null | ref_null),
+                   pa.array(np.maximum(hyp_lens - (n - 1), 0), mask=hyp_null),
+                   pa.array(np.maximum(ref_lens - (n - 1), 0), mask=ref_null)]
+    return pa.StructArray.from_arrays(arrays, names=names)
+
+
+def _fields(top: int) -> str:
+    return "struct<" + ",".join(f"{side}{n}:bigint" for n in range(1, top + 1) for side in "mhr") + ">"
+
+
+def _lens(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return lens, lists.is_null().to_numpy(zero_copy_only=False)
+
+
+def _token_overlap(top: int):
+    @F.arrow_udf(_fields(top))
+    def counted(hyp: pa.Array, ref: pa.Array) -> pa.Array:
+        (hyp_lens, hyp_null), (ref_lens, ref_null) = _lens(hyp), _lens(ref)
+        h_at, r_at = (np.concatenate([[0], np.cumsum(x)]) for x in (hyp_lens, ref_lens))
+        h, r = hyp.flatten(), ref.flatten()
+
+        def numbered(a: int, b: int) -> np.ndarray:
+            both = pa.concat_arrays([h[h_at[a]:h_at[b]], r[r_at[a]:r_at[b]]])
+            return both.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return _overlaps(hyp_lens, ref_lens, numbered, top, hyp_null, ref_null)
+    return counted
+
+
+def _char_overlap(top: int):
+    @F.arrow_udf(_fields(top))
+    def counted(hyp: pa.Array, ref: pa.Array) -> pa.Array:
+        h, r = ([t or "" for t in side.to_pylist()] for side in (hyp, ref))
+
+        def numbered(a: int, b: int) -> np.ndarray:
+            text = "".join(h[a:b]) + "".join(r[a:b])
+            return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        hyp_lens, ref_lens = (np.array([len(t) for t in side], dtype=np.int64) for side in (h, r))
+        nulls = [side.is_null().to_numpy(zero_copy_only=False) for side in (hyp, ref)]
+        return _overlaps(hyp_lens, ref_lens, numbered, top, *nulls)
+    return counted
+
+
+def overlap(hyp: Column, ref: Column, top: int, chars: bool = False) -> Column:
+    """``struct(m1, h1, r1, m2, ...)``: clipped matches and totals per n-gram order up to ``top``, of two token
+    arrays or of the characters of two texts. An Arrow function counts a whole batch in numpy."""
+    return (_char_overlap if chars else _token_overlap)(top)(hyp, ref)
 
 
 def bleu_overlap(hyp: Column, ref: Column, lowercase: bool) -> Column:
     if lowercase:
         hyp, ref = F.lower(hyp), F.lower(ref)
-    return overlap(tokens_13a(hyp), tokens_13a(ref), range(1, 5), ngram_keys)
+    return overlap(tokens_13a(hyp), tokens_13a(ref), 4)
 
 
 def chrf_overlap(hyp: Column, ref: Column) -> Column:
     def bare(text: Column) -> Column:
-        return F.regexp_replace(text, f"[{fixed.SPACE}]+", "")
-    return overlap(bare(hyp), bare(ref), range(1, 7), char_ngrams)
+        return F.regexp_replace(text, f"{SPACE}+", "")
+    return overlap(bare(hyp), bare(ref), 6, chars=True)
 
 
 def rouge_overlap(hyp: Column, ref: Column) -> Column:
-    return overlap(tokens_rouge(hyp), tokens_rouge(ref), range(1, 3), ngram_keys)
+    return overlap(tokens_rouge(hyp), tokens_rouge(ref), 2)
 
 
 def f_measure(matches: Column, hyp_total: Column, ref_total: Column) -> Column:
