@@ -14,9 +14,10 @@ def write_splits(prepared: DataFrame, path: str) -> None:
     prepared.write.mode("overwrite").partitionBy("split").parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 20_000) -> None:
+    """Files of so many rows at most: one with line breaks in its values is read whole by one task."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
-     .option("quoteAll", True).csv(path))
+     .option("maxRecordsPerFile", rows_per_file).option("quoteAll", True).csv(path))
 
 
 def write_dictionary(df: DataFrame, path: str) -> None:
