@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
-from pairmill.catalog.inputs import joined, prepared_lines, texts
+from pairmill.catalog.inputs import joined, prepared_lines, staged_tokens, texts
 from pairmill.catalog.registry import query
 from pairmill.functions import arrays, text
 from pairmill.functions.basics import compute_once
@@ -60,7 +60,7 @@ te as (select row_id, unnest(case when len(response_tokens) = 0 then [null] else
 select row_id, round(coalesce(sum(case when token is not null and id is null then 1 else 0 end)
   / nullif(count(token), 0), 1.0), 6) as oov_ratio from te left join vo using (token) group by row_id""")
 def token_oov_ratio(spark, sf):
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     words = stage(vocab.build_vocab(prep.where("split = 'train'"),
                                     ["query_tokens", "response_tokens"]), "vocab")
     out = vocab.oov_ratio(prep.where("split <> 'train'"), "response_tokens", words)
@@ -81,7 +81,7 @@ en as materialized (select row_id,
 
 
 def encoded_lines(spark, sf):
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     words = stage(vocab.build_vocab(prep.where("split = 'train'"),
                                     ["query_tokens", "response_tokens"]), "vocab")
     out = vocab.encode_columns(prep.select("row_id", "query_tokens", "response_tokens"),

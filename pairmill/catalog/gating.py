@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
 from pairmill.catalog.dictionaries import LEXICON, TRAIN_TOKENS, train_lines
-from pairmill.catalog.inputs import SUPPORT_SQL, dialogues, joined, prepared_lines, table, texts
+from pairmill.catalog.inputs import SUPPORT_SQL, dialogues, joined, staged_tokens, table, texts
 from pairmill.catalog.registry import query
 from pairmill.catalog.scores import MODEL
 from pairmill.catalog.texts import INVERSE, render_sql
@@ -182,7 +182,7 @@ def cutoff(prep, model):
 
 @query(MODEL + CUTOFF + " select c as min_logprob from cut")
 def logprob_cutoff(spark, sf):
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     found = cutoff(prep, lm.train_reply_model(prep.where("split = 'train'")))
     return spark.createDataFrame([(found,)], "min_logprob double")
 
@@ -190,7 +190,7 @@ def logprob_cutoff(spark, sf):
 def answered(spark, sf, limit=None):
     """Dialogue queries answered with candidates: the own reply and the own
     query echoed, both scored by the reply model of the training lines."""
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     train = prep.where("split = 'train'")
     words = stage(vocab.build_vocab(train, ["query_tokens", "response_tokens"]), "vocab")
     lexicon = stage(gate.scope_lexicon(train), "lexicon")

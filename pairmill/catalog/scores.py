@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
 from pairmill.catalog.dictionaries import train_lines
-from pairmill.catalog.inputs import dialogues, lines, prepared_lines, table, texts
+from pairmill.catalog.inputs import dialogues, lines, staged_tokens, table, texts
 from pairmill.catalog.registry import query
 from pairmill.functions import scoring, text
 from pairmill.functions.basics import compute_once
@@ -210,7 +210,7 @@ def reply_bigrams(spark, sf):
 
 @query(MODEL + " select row_id, round(avg(lp), 6) as avg_logprob from lpr where split <> 'train' group by 1")
 def reply_logprobs(spark, sf):
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     model = lm.train_reply_model(prep.where("split = 'train'"))
     out = lm.mean_reply_logprob(prep.where("split <> 'train'"), model)
     return out.select("row_id", F.round("avg_logprob", 6).alias("avg_logprob"))
@@ -219,7 +219,7 @@ def reply_logprobs(spark, sf):
 @query(MODEL + """ select split, round(exp(-sum(lp) / count(*)), 5) as perplexity,
  count(*) as n_tokens from lpr group by 1""")
 def perplexity(spark, sf):
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     model = lm.train_reply_model(prep.where("split = 'train'"))
     return lm.corpus_perplexity(prep, model, ["split"]).select(
         "split", F.round("perplexity", 5).alias("perplexity"), "n_tokens")
@@ -254,6 +254,6 @@ def evaluation_report(spark, sf):
         F.struct(F.lit("echo").alias("strategy"), F.col("query").alias("hyp")),
         F.struct(F.lit("copy").alias("strategy"), F.col("response").alias("hyp")))),
         F.col("response").alias("ref"))
-    prep = stage(prepared_lines(spark, sf), "prepared")
+    prep = staged_tokens(spark, sf)
     model = lm.train_reply_model(prep.where("split = 'train'"))
     return evaluate(both, prep, model)
