@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pairmill.catalog import sqltext as q
-from pairmill.catalog.inputs import (cleaned_lines, dialogues, prepared_lines, support_rows,
+from pairmill.catalog.inputs import (cleaned_lines, dialogues, lines, prepared_lines, support_rows,
                                      table)
 from pairmill.catalog.registry import query
 from pairmill.operators import filters, slots, split, stats
-from pairmill.plans.prepare import kept_pairs, prepare, usable_pairs
+from pairmill.plans.prepare import kept_clean_pairs, prepare, usable_pairs
 
 
 @query(q.SUPPORT + " select row_id, query, response from sup order by row_id limit 100")
@@ -50,7 +50,7 @@ def first_copy_documents(spark, sf):
 
 @query(q.CLEANED_LINES + ", " + q.kept() + " select row_id, query_clean, category from kept")
 def capped_replies(spark, sf):
-    return kept_pairs(cleaned_lines(spark, sf)).select("row_id", "query_clean", "category")
+    return kept_clean_pairs(lines(spark, sf)).select("row_id", "query_clean", "category")
 
 
 _STATS_SQL = q.CLEANED_SUPPORT + ", " + q.kept() + f""",

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairmill.functions.arrays import frame_ids, until_eos
 from pairmill.functions.basics import empty_strings
-from pairmill.operators.lookup import fits, lookup, ranked
+from pairmill.operators.lookup import in_rows, lookup, ranked
 from pairmill.settings import SPECIAL_TOKENS, UNK, Settings
 
 
@@ -75,26 +72,6 @@ def oov_ratio(df: DataFrame, tokens_col: str, vocab: DataFrame, key: str = "row_
         F.coalesce(F.try_divide(unknown, F.count("token")), F.lit(1.0)).alias("oov_ratio"))
 
 
-def _dictionary_call(keys: pa.Array, values: pa.Array, kind: str):
-    """An Arrow function that looks the items of arrays up in a small dictionary; null where it lacks them."""
-    @F.arrow_udf(f"array<{kind}>")
-    def looked_up(lists: pa.Array) -> pa.Array:
-        lens = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-        ends = np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)
-        found = values.take(pc.index_in(lists.flatten(), value_set=keys))
-        return pa.ListArray.from_arrays(pa.array(ends), found)
-    return looked_up
-
-
-def _in_rows(dictionary: DataFrame, key: str, value: str, kind: str, settings: Settings):
-    """``_dictionary_call`` for a dictionary of broadcast size, or None: arrays then stay whole in their rows."""
-    if not fits(dictionary, settings.broadcast_rows, settings.broadcast_bytes):
-        return None
-    small = dictionary.select(key, value).toArrow().combine_chunks()
-    columns = [small[c].combine_chunks() for c in (key, value)]
-    return _dictionary_call(*[c.chunk(0) if isinstance(c, pa.ChunkedArray) and c.num_chunks else c for c in columns], kind)
-
-
 def encode_columns(df: DataFrame, columns: dict[str, tuple[str, int]], vocab: DataFrame,
                    key: str = "row_id", add_sos: bool = True, add_eos: bool = True,
                    settings: Settings = Settings()) -> DataFrame:
@@ -104,7 +81,7 @@ def encode_columns(df: DataFrame, columns: dict[str, tuple[str, int]], vocab: Da
     """
     marks = int(add_sos) + int(add_eos)
     none = F.array().cast("array<int>")
-    call = _in_rows(vocab, "token", "id", "int", settings)
+    call = in_rows(vocab, "token", "id", "int", settings)
     if call is not None:
         whole = F.col(key).isNotNull()
         for c in columns:
@@ -141,7 +118,7 @@ def decode(df: DataFrame, ids_col: str, vocab: DataFrame, key: str = "row_id",
            settings: Settings = Settings()) -> DataFrame:
     """Ids -> tokens; ids the vocabulary lacks are counted in ``unknown_ids``."""
     ids = until_eos(F.col(ids_col)) if strip_special else F.col(ids_col)
-    call = _in_rows(with_specials(vocab), "id", "token", "string", settings)
+    call = in_rows(with_specials(vocab), "id", "token", "string", settings)
     if call is not None:
         known = F.array_compact("_d")
         return (df.withColumn("_d", F.coalesce(call(F.when(F.col(key).isNotNull(), ids)), empty_strings()))
