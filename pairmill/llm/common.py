@@ -14,6 +14,8 @@ from pairmill.sources.staging import spread, stage
 BLOCK_BYTES = 8 << 20
 #: Largest table that is broadcast, by the bytes of its rows and of their lists' elements.
 BROADCAST_BYTES, ROW_BYTES, ELEMENT_BYTES = 32 << 20, 64, 48
+#: Keys of documents that are broadcast (under 90 bytes each).
+BROADCAST_KEYS = 2_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,6 +51,20 @@ def bounded(table: DataFrame, lists: str | None = None) -> DataFrame:
     return F.broadcast(table) if few else table
 
 
+def with_found(docs: DataFrame, found: DataFrame, key: str, others: bool = True) -> DataFrame:
+    """``docs`` with what a staged table, a row per ``key``, holds of them; the ``others`` too, with nulls. Only
+    documents that are found in the table are shuffled, however large or small it is; all are where there are more
+    than ``BROADCAST_KEYS``. Reads ``docs`` twice: its keys must be the same each time.
+    """
+    if found.count() > BROADCAST_KEYS:
+        return docs.join(found.hint("merge"), key, "left" if others else "inner")
+    keys = F.broadcast(found.select(key))
+    met = docs.join(keys, key, "left_semi").join(found.hint("merge"), key)
+    if not others:
+        return met
+    return met.unionByName(docs.join(keys, key, "left_anti"), allowMissingColumns=True)
+
+
 def texts(docs: DataFrame, *more: Column) -> DataFrame:
     """``doc_id`` and whole ``text`` (null: empty), in at least one task per core."""
     return spread(docs.select(*more, F.col("doc_id").cast("long").alias("doc_id"),

@@ -6,8 +6,8 @@ least hash among the window's own. Equal windows have equal anchors. Neighbourin
 share theirs, and their bytes together, the context, are one row.
 
 1. Each block of documents finds its contexts; a context that repeats within the block is settled.
-2. Contexts meet by anchor. Repeats of a whole context are settled; an anchor with several different
-   contexts makes them candidates; all other rows end here.
+2. Contexts meet by anchor. Repeats of a whole context are settled. Of an anchor's different contexts
+   those are candidates that go on alike to the left or to the right of it; all other rows end here.
 3. The suffixes of an anchor's candidates are deep-shallow sorted; equal neighbours are repeats.
    Anchors with too many candidates for a task are resolved window by window with partial sums.
 4. The spans found are joined to their documents.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, remembered, texts
+from pairmill.llm.common import blobs, blocks, free_name, numbered, remembered, texts, with_found
 from pairmill.llm.skew import attach
 from pairmill.llm.suffixes import sort_suffixes
 from pairmill.sources.staging import stage
@@ -33,6 +33,9 @@ GRAM = 32
 BLOCK = 2 << 20
 #: Candidates of one anchor that a task sorts.
 GROUP_ROWS = 20_000
+#: A context's ``place``: from its low end, 7 bits of its number of windows, 12 each of the codes of its right and
+#: left side, and its start.
+RIGHT, LEFT, START, CODE = 7, 19, 31, 4095
 
 _U = np.uint64
 _LETTERS = np.random.default_rng(32).integers(0, 1 << 64, 256, _U)
@@ -62,11 +65,16 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(pieces: list[bytes], size: int) -> tuple[np.ndarray, ...]:
-    """Contexts of texts: piece, first window, number of windows, hashes of anchor and context."""
+    """Contexts of texts: piece, first window, number of windows, hashes of anchor and context, and the codes
+    of both sides as in ``place``.
+
+    Windows that two contexts share reach half of what is beyond the anchor, or more, on its left or on its
+    right. So a side has a code, of the bytes up to there, if a window of the context reaches it, else 0.
+    """
     from xxhash import xxh3_64_intdigest
     data = b"".join(pieces)
     if len(data) < size:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U, np.int64))
     ends = np.cumsum([len(p) for p in pieces])
     h = _gram_hashes(np.frombuffer(data, np.uint8))
     keys = (h >> _U(32) << _U(32)) | np.arange(len(h), dtype=_U)  # leftmost of equal ones
@@ -77,14 +85,20 @@ def contexts(pieces: list[bytes], size: int) -> tuple[np.ndarray, ...]:
     at = np.flatnonzero(inside[:len(least)])
     anchor = (least[at] & _U(0xFFFFFFFF)).astype(np.int64)
     if not len(at):
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, _U, _U, np.int64))
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
     start, stop = at[first], at[np.append(first[1:], len(at)) - 1] + 1
     digest = np.fromiter((xxh3_64_intdigest(data[a:b]) for a, b in
                           zip(start.tolist(), (stop + size - 1).tolist(), strict=True)), _U, len(start))
     piece = np.searchsorted(ends, start, "right")
     begins = np.append(0, ends[:-1])
-    return piece, start - begins[piece], stop - start, h[anchor[first]], digest
+    at, half = anchor[first], (size - GRAM + 1) // 2
+    sides = np.zeros(len(at), np.int64)
+    for shift, to, reached in ((LEFT, at - half, at - start >= half),
+                               (RIGHT, at + half, stop - 1 + size - GRAM - at >= half)):
+        code = h[np.where(reached, to, 0)] % _U(CODE)
+        sides |= np.where(reached, 1 + code.astype(np.int64), 0) << shift
+    return piece, start - begins[piece], stop - start, h[at], digest, sides
 
 
 def _find(size: int, block_bytes: int):
@@ -98,11 +112,11 @@ def _find(size: int, block_bytes: int):
                     pieces.append(text[a:a + block_bytes + size - 1])
                     keys.append(key)
                     offsets.append(a)
-            piece, start, n, anchor, digest = contexts(pieces, size)
+            piece, start, n, anchor, digest, sides = contexts(pieces, size)
             key = np.array(keys, np.int64)[piece]
             start = start + np.array(offsets, np.int64)[piece]
             order = np.lexsort((start, key, digest, anchor))
-            key, start, n, anchor, digest = (x[order] for x in (key, start, n, anchor, digest))
+            key, start, n, anchor, digest, sides = (x[order] for x in (key, start, n, anchor, digest, sides))
             new = np.ones(len(key), bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (digest[1:] != digest[:-1])
             first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
@@ -112,7 +126,7 @@ def _find(size: int, block_bytes: int):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (
                 (anchor[new].view(np.int64), (spans[0].view(_U) * _U(_BASE) + spans[1].view(_U)).view(np.int64)),
                 (digest[new].view(np.int64), spans[2]), (key[new], spans[0]),
-                (start[new] << 7 | n[new], spans[1] << 7))], ["anchor", "digest", "key", "place"])
+                (start[new] << START | sides[new] | n[new], spans[1] << START))], ["anchor", "digest", "key", "place"])
     return run
 
 
@@ -130,42 +144,77 @@ def _merged(key: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.nd
 def _meet(size: int):
     """Rows in order of anchor, digest, key, place: settles repeats of contexts, names candidates."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the first row of the last context; the row that waits for a second context
-        for batch in batches:
-            anchor, digest, key, place = (batch.column(c).to_numpy() for c in
-                                          ("anchor", "digest", "key", "place"))
-            settled = place & 127 == 0
-            out = [(key[settled], place[settled] >> 7, digest[settled], np.zeros(0, np.int64))]
-            rows = [x[~settled] for x in (anchor, digest, key, place)]
-            if held is not None:
-                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
-            held_n = 0 if held is None else len(held[0])
-            anchor, digest, key, place = rows
-            if not len(anchor):
-                yield _found(out)
-                continue
-            new_anchor = np.append(True, anchor[1:] != anchor[:-1])
-            new = new_anchor | np.append(True, digest[1:] != digest[:-1])
-            first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-            later = (key != key[first]) | (place != place[first])
-            out.append((key[later], place[later] >> 7, (place[later] & 127) + size - 1,
-                        np.zeros(0, np.int64)))
-            heads = np.flatnonzero(new)
-            opens = new_anchor[heads]
-            several = ~opens | np.append(~opens[1:], False)
-            told = several & (heads >= held_n)
-            if held_n:  # of two held rows, the first told of its anchor's others already
-                told[0] = several[0] and held_n == 1
-            told = heads[told]
-            out.append((key[told], place[told] >> 7, place[told] & 127, anchor[told]))
-            last = heads[-1]
-            # Two rows of one anchor are held where it has several contexts, else one.
-            keep = [last] if opens[-1] else [heads[len(heads) - 2], last]
-            held = [x[keep] for x in rows]
-            yield _found(out)
+        held, passed = [np.zeros(0, np.int64)] * 3, None
+        for settled, several in _settle(batches, size):
+            held = [np.concatenate(x) for x in zip(held, several, strict=True)]
+            cut = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
+            out = [_alike(*(x[:cut] for x in held), passed)]
+            held = [x[cut:] for x in held]
+            if len(held[0]) > GROUP_ROWS:  # passed on unseen, with what follows of the anchor
+                passed = int(held[0][0])
+            if len(held[0]) and held[0][0] == passed:
+                out.append(held)
+                held = [x[:0] for x in held]
+            yield _found(settled + [_candidates(*x) for x in out])
+        if len(held[0]):
+            yield _found([_candidates(*_alike(*held, passed))])
     return run
 
 
+def _candidates(anchor: np.ndarray, key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    return key, place >> START, place & 127, anchor
+
+
+def _alike(anchor: np.ndarray, key: np.ndarray, place: np.ndarray,
+           passed: int | None) -> tuple[np.ndarray, ...]:
+    """Different contexts in order of their anchor: those with a side like that of another, and all of
+    the anchor ``passed``."""
+    group = np.cumsum(np.append(True, anchor[1:] != anchor[:-1])[:len(anchor)])
+    keep = np.zeros(len(anchor), bool) if passed is None else anchor == passed
+    for shift in (LEFT, RIGHT):
+        code = place >> shift & CODE
+        _, own, n = np.unique(group << 12 | code, return_inverse=True, return_counts=True)
+        keep |= (code > 0) & (n[own] > 1)
+    return anchor[keep], key[keep], place[keep]
+
+
+def _settle(batches: Iterable[pa.RecordBatch],
+            size: int) -> Iterator[tuple[list[tuple[np.ndarray, ...]], tuple[np.ndarray, ...]]]:
+    """What is settled, and the anchors, keys and places of the first rows of contexts, for anchors with several."""
+    held = None  # the first row of the last context; the row that waits for a second context
+    for batch in batches:
+        anchor, digest, key, place = (batch.column(c).to_numpy() for c in
+                                      ("anchor", "digest", "key", "place"))
+        settled = place & 127 == 0
+        out = [(key[settled], place[settled] >> START, digest[settled], np.zeros(0, np.int64))]
+        rows = [x[~settled] for x in (anchor, digest, key, place)]
+        if held is not None:
+            rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+        held_n = 0 if held is None else len(held[0])
+        anchor, digest, key, place = rows
+        if not len(anchor):
+            yield out, (anchor, key, place)
+            continue
+        new_anchor = np.append(True, anchor[1:] != anchor[:-1])
+        new = new_anchor | np.append(True, digest[1:] != digest[:-1])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        later = (key != key[first]) | (place != place[first])
+        out.append((key[later], place[later] >> START, (place[later] & 127) + size - 1,
+                    np.zeros(0, np.int64)))
+        heads = np.flatnonzero(new)
+        opens = new_anchor[heads]
+        several = ~opens | np.append(~opens[1:], False)
+        told = several & (heads >= held_n)
+        if held_n:  # of two held rows, the first told of its anchor's others already
+            told[0] = several[0] and held_n == 1
+        told = heads[told]
+        last = heads[-1]
+        # Two rows of one anchor are held where it has several contexts, else one.
+        keep = [last] if opens[-1] else [heads[len(heads) - 2], last]
+        held = [x[keep] for x in rows]
+        yield out, (anchor[told], key[told], place[told])
+
+
 def _found(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
     columns = [np.concatenate([p[i] for p in parts]) for i in range(3)]
     anchor = pa.concat_arrays([pa.array(p[3]) if len(p[3]) else pa.nulls(len(p[0]), pa.int64())
@@ -262,7 +311,7 @@ def repeated_spans(docs: DataFrame, size: int) -> DataFrame:
     met = stage(met, "contexts")
     places = stage(met.where("anchor is not null").groupBy("key").agg(
         F.collect_list(F.struct("start", "size", "anchor")).alias("places")), "places")
-    candidates = stage(docs.join(bounded(places, "places"), "key").mapInArrow(
+    candidates = stage(with_found(docs, places, "key", others=False).mapInArrow(
         _read_candidates(size), "anchor long, key long, start long, context binary"), "candidates")
     large = stage(candidates.groupBy("anchor").agg(F.count("*").alias("n"))
                   .where(F.col("n") > GROUP_ROWS).withColumn("large", F.lit(True)), "large")
@@ -337,7 +386,7 @@ def without_repeats(docs: DataFrame, size: int = 100) -> DataFrame:
 def without_repeats_by_row(docs: DataFrame, size: int = 100) -> DataFrame:
     """``without_repeats`` of ``key`` (a number of each row, not null), ``doc_id`` and ``text``; gives
     the ``key`` too, by which it judges what is earlier."""
-    return docs.join(bounded(_spans(docs, size), "spans"), "key", "left").mapInArrow(
+    return with_found(docs, _spans(docs, size), "key").mapInArrow(
         _cut, "key long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
               "kept binary")
 
@@ -356,7 +405,7 @@ def without_passages(docs: DataFrame, size: int = 100) -> DataFrame:
     name, marked = free_name(docs, "row"), free_name(docs, "spans")
     rows = numbered(docs, name)
     spans = _spans(texts(rows, F.col(name).alias("key")), size)
-    met = rows.join(bounded(spans.select(F.col("key").alias(name), F.col("spans").alias(marked)), marked), name, "left")
+    met = with_found(rows, spans.select(F.col("key").alias(name), F.col("spans").alias(marked)), name)
     at = {c: i for i, c in enumerate(docs.columns)}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -93,3 +93,75 @@ def test_sample(sample):
 
 def test_empty(empty):
     assert repeats.without_repeats(empty).count() == 0
+
+
+def kept_by_stage(monkeypatch, names):
+    """Rows of the staged tables of these names, as the operator runs."""
+    found, stage = {}, repeats.stage
+
+    def record(df, name):
+        out = stage(df, name)
+        if name in names:
+            found[name] = out.collect()
+        return out
+
+    monkeypatch.setattr(repeats, "stage", record)
+    return found
+
+
+def test_sides(spark, monkeypatch):
+    """Texts that share a long gram but no side of it are not read again; those that share one side are."""
+    r = random.Random(5)
+
+    def text(n):
+        return "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+    gram, side = text(60), text(30)
+    apart = [(i, text(200) + gram + text(200)) for i in range(8)]
+    beside = [(i, text(200) + side + gram + side + text(200)) for i in (10, 11)]
+    found = kept_by_stage(monkeypatch, {"places"})
+    for rows, keys in ((apart, set()), (apart + beside, {10, 11})):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        check(repeats.without_repeats(df).collect(), rows, 100)
+        assert {p.key for p in found["places"]} == keys
+
+
+@pytest.mark.parametrize("size", [64, 65, 100, 127, 158])
+@pytest.mark.parametrize("group_rows", [20_000, 5])
+def test_shared_by_a_little(spark, monkeypatch, size, group_rows):
+    """Strings about as long as ``size`` stand in other texts, at a text's ends and after one another."""
+    monkeypatch.setattr(repeats, "GROUP_ROWS", group_rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 29)
+    try:
+        r = random.Random(size)
+
+        def text(n):
+            return "".join(r.choice("ab cd") for _ in range(n))
+
+        base, rows = text(400), []
+        for i in range(90):
+            at, n = r.randrange(300), r.randint(size - 2, size + 3)
+            rows.append((i, text(r.choice([0, 1, 150])) + base[at:at + n] + text(r.choice([0, 1, 40]))
+                         + base[at // 2:at // 2 + r.choice([0, size])]))
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+        check(repeats.without_repeats(df, size).collect(), rows, size)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("bound", [1 << 25, 0])
+def test_other_texts_stay_in_place(spark, monkeypatch, bound):
+    """Only texts of which something is found are shuffled, whatever a broadcast may take."""
+    from pairmill.llm import common
+    monkeypatch.setattr(common, "BROADCAST_BYTES", bound)
+    rows = shared_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = repeats.without_repeats(df)
+    check(out.collect(), rows, 100)
+    for table in (out, repeats.without_passages(df)):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join LeftAnti" in plan and "Join LeftSemi" in plan and "LeftOuter" not in plan
+    before = {r.doc_id: r.text for r in repeats.without_passages(df).collect()}
+    monkeypatch.setattr(common, "BROADCAST_KEYS", 0)
+    assert {r.doc_id: r.text for r in repeats.without_passages(df).collect()} == before
+    check(repeats.without_repeats(df).collect(), rows, 100)
