@@ -15,7 +15,7 @@ Equal sets are one node. The product is formed where it can reach the threshold
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -167,19 +167,22 @@ def described(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``node`` and its n-grams as bytes, for the documents named by ``nodes``."""
+    """``node`` and its n-grams as bytes in ``grams``, for the documents named by ``nodes`` (one row each), with its
+    other columns. Texts stay in place for up to ``BROADCAST_NODES``."""
     few = nodes.count() <= BROADCAST_NODES
     wanted = nodes.withColumnRenamed("node", "key")
-    met = rows.join(F.broadcast(wanted) if few else wanted, "key", "left_semi")
+    more = [f for f in nodes.schema.fields if f.name != "node"]
+    met = rows.join(F.broadcast(wanted) if few else wanted, "key").select("key", "text", *(f.name for f in more))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hashes()
         for block in blocks(batches):
             yield pa.RecordBatch.from_arrays(
                 [block.column("key"), pa.array([shingles(t, words, known).tobytes() for t in blobs(block.column("text"))],
-                                               pa.binary())], ["node", "grams"])
+                                               pa.binary()), *(block.column(f.name) for f in more)],
+                ["node", "grams", *(f.name for f in more)])
 
-    return stage(met.select("key", "text").mapInArrow(run, "node long, grams binary"), "ngram-sets")
+    return met.mapInArrow(run, ", ".join(["node long, grams binary", *(f"{f.name} {f.dataType.simpleString()}" for f in more)]))
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -238,8 +241,8 @@ def linked(sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
                 yield from ((part[root], part[i]) for i in todo)
 
 
-def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` within each block (``block``, ``node``)."""
+def block_links(members: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Links ``a``, ``b`` within each block (``block``, ``node``); ``sets`` adds the n-grams to a table of nodes."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
@@ -258,7 +261,8 @@ def block_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield done()
 
-    met = members.join(sets, "node").select("block", "node", "grams")
+    own = stage(members.groupBy("node").agg(F.collect_list("block").alias("blocks")), "node-blocks")
+    met = sets(own).select(F.explode("blocks").alias("block"), "node", "grams")
     return met.repartition("block").sortWithinPartitions("block", "node").mapInArrow(run, "a long, b long")
 
 
@@ -266,7 +270,7 @@ def blocks_of(nodes: DataFrame) -> DataFrame:
     """``block`` and ``node`` of step 1: nodes share a min-hash. A large block of the one kind is cut by its
     nodes' other min-hash; a large one of the other kind, and what is still large of the first, into parts of
     any nodes, which so tie the first kind's together. All parts get the block's first node. A node
-    without company is left out."""
+    without company is left out, and of blocks with the same nodes one stays."""
     kinds = F.explode(F.array(
         F.struct(F.xxhash64(F.lit(0), "min_a").alias("block"), F.col("min_b").alias("second")),
         F.struct(F.xxhash64(F.lit(1), "min_b").alias("block"), F.lit(0).cast("long").alias("second"))))
@@ -285,8 +289,12 @@ def blocks_of(nodes: DataFrame) -> DataFrame:
     own = F.array(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     all_parts = F.when(F.col("node") == F.col("leader"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(own)
     dealt = cut.select("block", "node", F.explode(all_parts).alias("part"))
-    return met.where("parts = 1").select("block", "node").unionByName(
-        dealt.select(F.xxhash64("block", "part").alias("block"), "node")).distinct()
+    found = stage(met.where("parts = 1").select("block", "node").unionByName(
+        dealt.select(F.xxhash64("block", "part").alias("block"), "node")).distinct(), "all-blocks")
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "node")).alias(f"mark_{i}") for i in range(2)]
+    one = (found.groupBy("block").agg(F.count("*").alias("n"), *marks)
+           .groupBy("n", "mark_0", "mark_1").agg(F.min("block").alias("block")).select("block"))
+    return found.join(one, "block", "left_semi")
 
 
 def partial_overlaps(rows: DataFrame, percent: int) -> DataFrame:
@@ -399,8 +407,7 @@ def near_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFr
                   "ngram-first")
 
     member = stage(blocks_of(nodes), "ngram-blocks")
-    sets = sets_of(rows, member.select("node").distinct(), words)
-    close = stage(block_links(member, sets, percent).distinct(), "block-links")
+    close = stage(block_links(member, lambda named: sets_of(rows, named, words), percent).distinct(), "block-links")
     joined = components(close).select("node", F.col("root").alias("cluster"))
     cluster = stage(nodes.join(joined, "node", "left").select(
         F.col("node").alias("key"), F.coalesce("cluster", "node").alias("cluster")), "ngram-clusters")
@@ -414,7 +421,8 @@ def near_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFr
              .where((100 + percent) * (F.col("n") + bound) >= percent * (F.col("size_a") + F.col("size_b"))))
     pairs = stage(pairs.select("a", "b"), "ngram-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    found = stage(counted_in_full(pairs, sets_of(rows, ends, words), percent), "pair-links")
+    sets = stage(sets_of(rows, ends, words), "ngram-sets")
+    found = stage(counted_in_full(pairs, sets, percent), "pair-links")
 
     roots = components(close.unionByName(found))
     member = stage(alike.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "ngram-members")

@@ -114,3 +114,27 @@ def test_parities_are_a_bound():
         b = np.unique(np.concatenate([a[n // 3:], b[:n // 4]]))
         x, y = (np.frombuffer(ngrams.parities(s), np.uint64) for s in (a, b))
         assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
+def test_blocks_with_the_same_nodes_are_multiplied_once(spark):
+    nodes = spark.createDataFrame([(1, 9, 5, 6), (2, 9, 5, 6), (3, 9, 5, 6), (4, 9, 7, 8), (5, 9, 7, 80), (6, 9, 70, 8)],
+                                  "node long, size long, min_a long, min_b long")
+    found = {}
+    for r in ngrams.blocks_of(nodes).collect():
+        found.setdefault(r.block, set()).add(r.node)
+    assert sorted(map(sorted, found.values())) == [[1, 2, 3], [4, 5], [4, 6]]
+
+
+def test_sets_are_read_in_place(spark):
+    """Texts and their sets are not shuffled to meet the blocks."""
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(family(12, 3))], "key long, doc_id long, text string")
+    seen = []
+
+    def sets(named):
+        seen.append(ngrams.sets_of(rows, named, 4))
+        return seen[0]
+
+    member = spark.createDataFrame([(7, 1), (7, 2), (8, 2), (8, 3)], "block long, node long")
+    found = ngrams.block_links(member, sets, 85).collect()
+    assert {(r.a, r.b) for r in found} <= {(1, 2), (2, 1), (2, 3), (3, 2)}
+    assert "BroadcastHashJoin" in (plan := seen[0]._jdf.queryExecution().executedPlan().toString()) and "Exchange hash" not in plan
