@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairmill.llm.common import blobs, blocks, bounded, free_name, numbered, texts
+from pairmill.llm.common import blobs, blocks, free_name, numbered, texts, with_found
 from pairmill.llm.skew import attach, components
 from pairmill.sources.staging import stage
 
@@ -308,7 +308,7 @@ def meetings(docs: DataFrame, firsts: DataFrame, distance: int, least: int) -> t
                        F.expr("line & -2").alias("line"))
     places = stage(firsts.join(hits.select("line").distinct(), "line", "left_semi")
                    .groupBy("key").agg(F.collect_list(F.struct("line_no", "line")).alias("places")), "line-places")
-    known = stage(docs.join(bounded(places, "places"), "key")
+    known = stage(with_found(docs, places, "key", others=False)
                   .select("text", "places").mapInArrow(_read, "line long, content string")
                   .dropDuplicates(["line"]), "lines")
     large = stage(hits.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 2 * GROUP_ROWS)
@@ -420,7 +420,7 @@ def without_repeated_lines(docs: DataFrame, distance: int = 2, least: int = LEAS
     rows = numbered(docs, name)
     gone = stage(repeated_lines(texts(rows, F.col(name).alias("key")), distance, least)
                  .groupBy(F.col("key").alias(name)).agg(F.collect_set("line_no").alias(lost)), "gone-lines")
-    met = rows.join(bounded(gone, lost), name, "left")
+    met = with_found(rows, gone, name)
     left = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(lost, i.cast("long")))
     text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     met = met.withColumn("text", text).where(F.col(lost).isNull() | F.col("text").rlike("\\S"))

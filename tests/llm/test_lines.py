@@ -140,3 +140,14 @@ def test_chains_of_close_lines(spark, monkeypatch, group_rows):
     got = sorted(map(tuple, lines.without_repeated_lines(df).collect()))
     assert got == brute_left(rows, 2, lines.LEAST_CHARS)
     assert [t.split("\n")[0] for _, t in got[:2]] == [steps[0], steps[4]]
+
+
+def test_other_texts_stay_in_place(spark):
+    """Only texts that lose a line are shuffled, however many lines are lost."""
+    line = "a line of more than twenty-four characters"
+    rows = [(i, f"text {i} of its own\n{line}") for i in range(4)] + [(9, "other\n\ntext"), (10, None), (11, line)]
+    out = lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftAnti" in plan and "Join LeftSemi" in plan and "LeftOuter" not in plan
+    assert {r.doc_id: r.text for r in out.collect()} == {
+        0: rows[0][1], **{i: f"text {i} of its own" for i in (1, 2, 3)}, 9: "other\n\ntext", 10: None}
